@@ -122,11 +122,12 @@ def samples(docs: DataFrame, labels: DataFrame, text: str, key: str, labelled: i
     for c in {"lang", "source", "n_chars"} - set(have):
         rows = rows.withColumn(c, F.lit(None).cast("string"))
     calibration = F.crc32(F.concat(F.lit("c"), F.col(key).cast("string")).cast("binary")) % 4 == 0
+    content, page = text_features(), meta_features()
     out = with_statistics(rows, text).select(
-        "_y", calibration.alias("_c"), F.xxhash64(key).alias("_order"), *(c.alias(n) for n, c in text_features().items()), *(c.alias(n) for n, c in meta_features().items())
+        "_y", calibration.alias("_c"), F.xxhash64(key).alias("_order"), *(c.alias(n) for n, c in content.items()), *(c.alias(n) for n, c in page.items())
     )
     got = out.orderBy("_order").limit(labelled + unlabelled).collect()
-    x = np.array([[r[n] for n in text_features()] for r in got], float).reshape(len(got), -1)
+    x = np.array([[r[n] for n in content] for r in got], float).reshape(len(got), -1)
     z = np.zeros((len(got), sum(SLOTS.values())))
     for i, r in enumerate(got):
         at = 0

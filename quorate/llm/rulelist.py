@@ -198,12 +198,17 @@ def learn(rows: list[dict]) -> list[Rule]:
     side = lambda bad, pruning: [r for r in rows if r["bad"] == bad and (r["part"] == 2) == pruning]
     bad, bad2, good, good2 = side(True, False), side(True, True), side(False, False), side(False, True)
     rules: list[Rule] = []
-    while bad and len(rules) < MOST_RULES:
-        rule, p, q = prune(grow(bad, good), bad2, good2)
-        if not rule or p < LEAST_COVERED or p < PRECISION * (p + q):
+    for _ in range(MOST_RULES):
+        grown = grow(bad, good) if bad else ()
+        if not grown:
             break
-        rules.append(rule)
-        bad, bad2, good, good2 = ([r for r in x if not all(c.holds(r) for c in rule)] for x in (bad, bad2, good, good2))
+        rule, p, q = prune(grown, bad2, good2)
+        others = lambda rows, rule: [r for r in rows if not all(c.holds(r) for c in rule)]
+        if p >= LEAST_COVERED and p >= PRECISION * (p + q):
+            rules.append(rule)
+            bad, bad2, good, good2 = (others(x, rule) for x in (bad, bad2, good, good2))
+        else:  # not precise enough to be a rule: what it was grown for is left alone
+            bad = others(bad, grown)
     return rules
 
 
