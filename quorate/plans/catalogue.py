@@ -1,11 +1,622 @@
-"""Every query of the engine on the driver's tables, with the SQL that must give the same rows."""
+"""Every query of the engine on the driver's tables, with the SQL that must give the same rows.
+
+`events` is the mutation log: user_id is the partition key, event_type the clustering key, ts the write time,
+value and props the cells. `lineitem` has natural versions of (l_orderkey, l_linenumber).
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quorate.functions import tokens
+from quorate.operators import cdc, reconcile, ring
+from quorate.operators.reconcile import Cell
+from quorate.sources import table
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+PK, CK = "user_id", "event_type"
+NOW = "2024-06-01 00:00:00"
+_LATEST = "row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1"
+
+
+def query(sql: str | None):
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/events.parquet")
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/lineitem.parquet")
+
+
+def _every(n: int, rest: int = 0):
+    return F.col("event_id") % n == rest
+
+
+def _money(c):
+    return c.cast("decimal(18,2)")
+
+
+# --- reconciliation -------------------------------------------------------------------------------------------
+
+_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@query(
+    f"""with w as (select *, row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(c + ' desc' for c in _ORDER)}) rn from lineitem)
+    select l_returnflag, cast(sum(cast(l_quantity as decimal(18,2))) as decimal(28,2)) as sum_qty, count(*) as n_rows from w where rn = 1 group by 1"""
+)
+def merge_lww_row(spark, d):
+    rows = reconcile.merge_rows(_lines(spark, d), ["l_orderkey", "l_linenumber"], _ORDER, ["l_returnflag", "l_quantity"])
+    return rows.groupBy("l_returnflag").agg(F.sum(_money(F.col("l_quantity"))).cast("decimal(28,2)").alias("sum_qty"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def _cells() -> list[Cell]:
+    return [Cell("value", F.col("value"), ~_every(3), _every(11)), Cell("props", F.col("props"), ~_every(5), _every(7))]
+
+
+_CELLS_SQL = """select user_id, event_type,
+    arg_max({'v': case when event_id % 11 = 0 then null else value end, 't': case when event_id % 11 = 0 then null else ts end}, ts) filter (event_id % 3 <> 0) as a,
+    arg_max({'v': case when event_id % 7 = 0 then null else props end, 't': case when event_id % 7 = 0 then null else ts end}, ts) filter (event_id % 5 <> 0) as b
+    from events group by all"""
+
+
+def _merged(spark, d, **more):
+    return reconcile.merge_cells(_events(spark, d), [PK, CK], "ts", _cells(), **more)
+
+
+@query(f"select user_id, event_type, a.v as value, b.v as props from ({_CELLS_SQL}) where a.v is not null or b.v is not null")
+def merge_lww_cell(spark, d):
+    return reconcile.visible_rows(_merged(spark, d), ["value", "props"])
+
+
+@query(f"select count(*) as n_keys, count(a.v) as n_value, count(b.v) as n_props from ({_CELLS_SQL})")
+def merge_purge_all(spark, d):
+    return _merged(spark, d).agg(F.count(F.lit(1)).alias("n_keys"), F.count("value").alias("n_value"), F.count("props").alias("n_props"))
+
+
+@query(f"select user_id, event_type, case when a.v is null then 0 else 1 end as has_value from ({_CELLS_SQL})")
+def tomb_cell(spark, d):
+    return _merged(spark, d).select(PK, CK, F.when(F.col("value").isNull(), 0).otherwise(1).alias("has_value"))
+
+
+@query(f"select user_id, event_type, strftime(greatest(a.t, b.t), '%Y-%m-%d %H:%M:%S.%f') as modified from ({_CELLS_SQL}) where a.v is not null or b.v is not null")
+def last_modified(spark, d):
+    rows = reconcile.last_modified(reconcile.visible_rows(_merged(spark, d, keep_times=True), ["value", "props"]), ["value", "props"])
+    return rows.select(PK, CK, F.date_format("last_modified_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("modified"))
+
+
+def _survivors(sql_deletions: str, on: str) -> str:
+    match = " and ".join(f"e.{c} = x.{c}" for c in on.split(","))
+    return f"""with x as (select {on}, max(ts) as del from events where {sql_deletions} group by all),
+    v as (select e.* from events e left join x on {match} where x.del is null or e.ts > x.del)
+    select user_id, event_type, arg_max(value, ts) as value from v group by all"""
+
+
+@query(_survivors("event_id % 211 = 0", "user_id"))
+def tomb_partition(spark, d):
+    e = _events(spark, d)
+    left = reconcile.without_deleted(e, e.where(_every(211)), [PK], "ts", "ts")
+    return reconcile.merge_cells(left, [PK, CK], "ts", [Cell("value", F.col("value"))])
+
+
+@query(_survivors("event_id % 97 = 0", "user_id,event_type"))
+def tomb_row(spark, d):
+    e = _events(spark, d)
+    left = reconcile.without_deleted(e, e.where(_every(97)), [PK, CK], "ts", "ts")
+    return reconcile.merge_cells(left, [PK, CK], "ts", [Cell("value", F.col("value"))])
+
+
+def _ranges(e: DataFrame) -> DataFrame:
+    return e.where(_every(89)).select(PK, F.floor("value").cast("long").alias("lo"), _every(2).alias("lo_inclusive"), (F.floor("value") + 20).cast("long").alias("hi"), (~_every(2)).alias("hi_inclusive"), F.col("ts").alias("deleted_at"))
+
+
+@query(
+    """with r as (select user_id, cast(floor(value) as bigint) lo, event_id % 2 = 0 as li, cast(floor(value) + 20 as bigint) hi, event_id % 2 <> 0 as ri, ts as del from events where event_id % 89 = 0),
+    v as (select user_id, cast(floor(value) as bigint) as slot, ts, event_id from events e)
+    select user_id, slot, max(event_id) as event_id from v where not exists (select 1 from r where r.user_id = v.user_id and v.ts <= r.del
+      and (v.slot > r.lo or (r.li and v.slot = r.lo)) and (v.slot < r.hi or (r.ri and v.slot = r.hi))) group by all"""
+)
+def tomb_range(spark, d):
+    e = _events(spark, d)
+    versions = e.select(PK, F.floor("value").cast("long").alias("slot"), "ts", "event_id")
+    left = reconcile.without_ranges(versions, _ranges(e), [PK], "slot", "ts")
+    return left.groupBy(PK, "slot").agg(F.max("event_id").alias("event_id"))
+
+
+@query(
+    f"""with w as (select *, {_LATEST} as won from events)
+    select user_id, event_type, case when ts + to_days(cast(event_id % 7 as integer)) > timestamp '{NOW}' or event_id % 7 = 0 then value end as value from w where won"""
+)
+def ttl_expire(spark, d):
+    ends = F.when(~_every(7), F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 7).cast("int")))
+    return reconcile.merge_cells(_events(spark, d), [PK, CK], "ts", [Cell("value", F.col("value"), expires_at=ends)], now=F.lit(NOW).cast("timestamp_ntz"))
+
+
+def _elements(spark, d) -> DataFrame:
+    return _events(spark, d).withColumn("path", F.get_json_object("props", "$.k").cast("bigint"))
+
+
+_ELEMENTS_SQL = """e as (select *, try_cast(json_extract_string(props, '$.k') as bigint) as path from events),
+    won as (select user_id, path, arg_max({'dead': event_id % 13 = 0, 'id': event_id, 'ts': ts}, ts) as c from e where path is not null group by all)"""
+
+
+def _won(spark, d):
+    return reconcile.merge_elements(_elements(spark, d).where("path is not null"), [PK], "path", "ts", "event_id", _every(13))
+
+
+@query(f"with {_ELEMENTS_SQL} select user_id, string_agg(path || '=' || c.id, ',' order by path) as entries from won where not c.dead group by all")
+def coll_merge_map(spark, d):
+    m = reconcile.as_map(_won(spark, d), [PK], "path", "event_id", "m")
+    return m.select(PK, F.array_join(F.transform(F.map_entries("m"), lambda x: F.concat_ws("=", x["key"].cast("string"), x["value"].cast("string"))), ",").alias("entries"))
+
+
+@query(f"with {_ELEMENTS_SQL} select user_id, string_agg(cast(path as varchar), ',' order by path) as members from won where not c.dead group by all")
+def coll_merge_set(spark, d):
+    return reconcile.as_set(_won(spark, d), [PK], "path", "s").select(PK, F.array_join(F.transform("s", lambda x: x.cast("string")), ",").alias("members"))
+
+
+@query(f"with {_ELEMENTS_SQL} select user_id, string_agg(cast(c.id as varchar), ',' order by path) as items from won where not c.dead group by all")
+def coll_merge_list(spark, d):
+    return reconcile.as_list(_won(spark, d), [PK], "path", "event_id", "l").select(PK, F.array_join(F.transform("l", lambda x: x.cast("string")), ",").alias("items"))
+
+
+@query(f"with {_ELEMENTS_SQL} select user_id, strftime(max(c.ts), '%Y-%m-%d %H:%M:%S.%f') as modified from won where not c.dead group by all")
+def coll_timestamp(spark, d):
+    return _won(spark, d).groupBy(PK).agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("modified"))
+
+
+@query(
+    f"""with x as (select user_id, max(ts) as del from events where event_id % 307 = 0 group by all), {_ELEMENTS_SQL.replace('from events', 'from events left join x using (user_id) where x.del is null or ts > x.del')}
+    select user_id, count(*) as n_live from won where not c.dead group by all"""
+)
+def coll_tombstone(spark, d):
+    e = _elements(spark, d)
+    left = reconcile.without_deleted(e, e.where(_every(307)), [PK], "ts", "ts").where("path is not null")
+    return reconcile.merge_elements(left, [PK], "path", "ts", "event_id", _every(13)).groupBy(PK).agg(F.count(F.lit(1)).alias("n_live"))
+
+
+@query("select user_id, arg_max(event_type, ts) as kind, arg_max(props, ts) as body from events group by all")
+def coll_frozen(spark, d):
+    one = reconcile.merge_cells(_events(spark, d), [PK], "ts", [Cell("whole", F.struct(F.col(CK).alias("kind"), F.col("props").alias("body")))])
+    return one.select(PK, "whole.kind", "whole.body")
+
+
+@query("select user_id, arg_max(event_type, ts) filter (event_id % 2 = 0) as kind, arg_max(props, ts) filter (event_id % 2 = 1) as body from events group by all")
+def udt_merge(spark, d):
+    fields = [Cell("kind", F.col(CK), _every(2)), Cell("body", F.col("props"), ~_every(2))]
+    udt = reconcile.merge_cells(_events(spark, d), [PK], "ts", fields).select(PK, F.struct("kind", "body").alias("u"))
+    return udt.select(PK, "u.kind", "u.body")
+
+
+@query(
+    """with s as (select user_id, arg_max(value, ts) as static_value from events where event_type = 'signup' group by all),
+    r as (select user_id, event_type, arg_max(value, ts) as value from events where event_type <> 'signup' group by all) select r.*, s.static_value from r left join s using (user_id)"""
+)
+def static_broadcast(spark, d):
+    e = _events(spark, d)
+    statics = reconcile.merge_cells(e.where(F.col(CK) == "signup"), [PK], "ts", [Cell("static_value", F.col("value"))])
+    rows = reconcile.merge_cells(e.where(F.col(CK) != "signup"), [PK, CK], "ts", [Cell("value", F.col("value"))])
+    return reconcile.with_statics(rows, statics, [PK])
+
+
+@query(
+    """with s as (select distinct user_id from events where event_id % 2 = 0), r as (select user_id, arg_max(value, ts) as value from events where event_id % 31 = 0 group by all)
+    select user_id, r.value from r left join s using (user_id)"""
+)
+def static_only_partition(spark, d):
+    e = _events(spark, d)
+    rows = reconcile.merge_cells(e.where(_every(31)), [PK], "ts", [Cell("value", F.col("value"))])
+    return reconcile.with_statics(rows, e.where(_every(2)).select(PK).distinct(), [PK])
+
+
+@query(f"select user_id, event_type, a.v as value from ({_CELLS_SQL}) where a.v is not null")
+def row_liveness_only(spark, d):
+    return reconcile.visible_rows(_merged(spark, d).select(PK, CK, "value"), ["value"])
+
+
+@query("select distinct user_id, event_type from events")
+def proj_keys_only(spark, d):
+    merged = reconcile.merge_cells(_events(spark, d), [PK, CK], "ts", [Cell("value", F.col("value"))])
+    return reconcile.visible_rows(merged.select(PK, CK), [], keys_only=True)
+
+
+@query("select count(*) as n_rows from (select distinct user_id, event_type from events)")
+def proj_no_columns(spark, d):
+    return proj_keys_only(spark, d).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("select user_id, event_type, arg_max(value, ts) filter (event_id % 2 = 0) as value, arg_max(props, ts) filter (event_id % 4 = 1) as props from events group by all")
+def row_partial(spark, d):
+    return reconcile.merge_cells(_events(spark, d), [PK, CK], "ts", [Cell("value", F.col("value"), _every(2)), Cell("props", F.col("props"), _every(4, 1))])
+
+
+@query("select user_id, event_type, arg_max(value, ts) as value from events where event_id % 2 = 1 group by all")
+def row_upsert(spark, d):
+    return reconcile.merge_cells(_events(spark, d).where(~_every(2)), [PK, CK], "ts", [Cell("value", F.col("value"))])
+
+
+@query("select user_id, event_type, arg_max(value, ts) as value from events group by all")
+def dropped_column(spark, d):
+    known = [c for c in (PK, CK, "ts", "value", "never_written") if c in _events(spark, d).columns]
+    return reconcile.merge_cells(_events(spark, d).select(*known), [PK, CK], "ts", [Cell("value", F.col("value"))])
+
+
+@query("select user_id, event_type, arg_max(props, ts) as props from events group by all")
+def proj_prune(spark, d):
+    both = reconcile.merge_cells(_events(spark, d), [PK, CK], "ts", [Cell("value", F.col("value")), Cell("props", F.col("props"))])
+    return both.select(PK, CK, "props")
+
+
+_CURRENT_SQL = "select user_id, event_type, arg_max(value, ts) as value from events group by all"
+
+
+def _current(spark, d):
+    return reconcile.merge_cells(_events(spark, d), [PK, CK], "ts", [Cell("value", F.col("value"))])
+
+
+@query(f"select event_type, cast(sum(cast(value as decimal(18,2))) as decimal(28,2)) as total, count(*) as n from ({_CURRENT_SQL}) group by all")
+def src_table_batch(spark, d):
+    return _current(spark, d).groupBy(CK).agg(F.sum(_money(F.col("value"))).cast("decimal(28,2)").alias("total"), F.count(F.lit(1)).alias("n"))
+
+
+@query(f"select * from ({_CURRENT_SQL}) where user_id = 7")
+def filt_pk_eq(spark, d):
+    return _current(spark, d).where(F.col(PK) == 7)
+
+
+@query(f"select * from ({_CURRENT_SQL}) where user_id in (1, 3, 5, 100000)")
+def filt_pk_in(spark, d):
+    return _current(spark, d).where(F.col(PK).isin(1, 3, 5, 100000))
+
+
+@query("select user_id, event_type, arg_max(value, ts) as value from events where user_id in (2, 3) and event_type in ('click', 'view', 'error') group by all")
+def filt_pk_cartesian(spark, d):
+    spec = table.parse_table("create table t (user_id bigint, event_type text, value double, primary key ((user_id, event_type)))")
+    chosen = table.with_key_filter(_events(spark, d), spec, {PK: [2, 3], CK: ["click", "view", "error"]})
+    return reconcile.merge_cells(chosen, [PK, CK], "ts", [Cell("value", F.col("value"))])
+
+
+@query(f"select * from ({_CURRENT_SQL}) where event_type >= 'e' and value is not null and not value < 10")
+def filt_residual(spark, d):
+    return _current(spark, d).where((F.col(CK) >= "e") & F.col("value").isNotNull() & ~(F.col("value") < 10))
+
+
+@query(f"select * from ({_CURRENT_SQL}) where user_id = -1")
+def filt_none(spark, d):
+    return _current(spark, d).where(F.col(PK) == -1)
+
+
+@query("select event_type, cast(sum(cast(value as decimal(18,2))) as decimal(28,2)) as total from events group by all")
+def agg_group_sum(spark, d):
+    return _events(spark, d).groupBy(CK).agg(F.sum(_money(F.col("value"))).cast("decimal(28,2)").alias("total"))
+
+
+@query("select user_id, count(*) as n from events group by all")
+def agg_count(spark, d):
+    return _events(spark, d).groupBy(PK).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- keys, tokens, ring ---------------------------------------------------------------------------------------
+
+
+@query(
+    """select distinct user_id, '0008' || lpad(lower(to_hex(user_id)), 16, '0') || '00' || lpad(lower(to_hex(octet_length(encode(event_type)))), 4, '0') || lower(hex(encode(event_type))) || '00' as key_hex from events"""
+)
+def key_encode(spark, d):
+    key = tokens.composite_key(tokens.long_bytes(F.col(PK)), tokens.text_bytes(F.col(CK)))
+    return _events(spark, d).select(PK, F.lower(F.hex(key)).alias("key_hex")).distinct()
+
+
+@query(None)
+def token_murmur3(spark, d):
+    return _events(spark, d).select(PK).distinct().withColumn("token", tokens.murmur3_bigint(PK))
+
+
+@query("select distinct event_type, case when substr(md5(event_type), 1, 1) < '8' then 'positive' else 'negated' end as half from events")
+def token_random_half(spark, d):
+    digest = F.md5(F.col(CK).cast("binary"))
+    half = F.when(tokens.random_token_hex(F.col(CK).cast("binary")) == digest, "positive").otherwise("negated")
+    return _events(spark, d).select(CK, half.alias("half")).distinct()
+
+
+@query("select c_name, md5(c_name) as token from customer where substr(md5(c_name), 1, 1) < '8'")
+def token_random(spark, d):
+    key = F.col("c_name").cast("binary")
+    c = spark.read.parquet(f"{d}/customer.parquet").where(F.substring(F.md5(key), 1, 1) < "8")
+    return c.select("c_name", tokens.random_token_hex(key).alias("token"))
+
+
+@query("select distinct user_id from events where user_id * 37 % 1000 > 100 and user_id * 37 % 1000 <= 600")
+def filt_token_range(spark, d):
+    return _events(spark, d).where(tokens.in_range(F.col(PK) * 37 % 1000, 100, 600)).select(PK).distinct()
+
+
+@query("select distinct user_id from events where user_id in (1, 5, 9, 20) and user_id * 37 % 1000 > 100 and user_id * 37 % 1000 <= 400")
+def filt_key_in_range(spark, d):
+    return _events(spark, d).where(F.col(PK).isin(1, 5, 9, 20) & tokens.in_range(F.col(PK) * 37 % 1000, 100, 400)).select(PK).distinct()
+
+
+@query("select event_id from events where encode(event_type) = encode('click')")
+def filt_partition_key_bytes(spark, d):
+    return _events(spark, d).where(F.col(CK).cast("binary") == F.lit("click").cast("binary")).select("event_id")
+
+
+def _ring() -> list[ring.Instance]:
+    return [ring.Instance(100 * i, f"n{i}", dc) for i, dc in enumerate(("dc1", "dc2") * 3)]
+
+
+@query(
+    """with i(token, node) as (values (0,'n0'),(100,'n1'),(200,'n2'),(300,'n3'),(400,'n4'),(500,'n5')), o as (select node, token, lag(token, 3) over (order by token) as start, max(token) over () as top, row_number() over (order by token) rn from i),
+    w as (select node, token, coalesce(start, (select token from i b where b.token = (o.rn + 2) * 100)) as start from o)
+    select node, cast(start as bigint) as range_start, cast(token as bigint) as range_end from w where start < token
+    union all select node, cast(start as bigint), 9223372036854775807 from w where start >= token union all select node, -9223372036854775808, cast(token as bigint) from w where start >= token"""
+)
+def ring_ranges(spark, d):
+    owned = ring.owned_ranges(_ring(), 3)
+    return spark.createDataFrame([(i.node, r.start, r.end) for i, rs in owned.items() for r in rs], "node string, range_start bigint, range_end bigint")
+
+
+@query(
+    """select * from (values ('0', 100::bigint, 'n0,n1,n2,n3'), ('x', 0::bigint, '')) t(a, range_end, replicas) where a = '0' and false
+    union all select cast(s as varchar), cast(e as bigint), r from (values (0,100,'n1,n2,n3,n4'),(100,200,'n2,n3,n4,n5'),(200,300,'n0,n3,n4,n5'),(300,400,'n0,n1,n4,n5'),(400,500,'n0,n1,n2,n5')) v(s, e, r)"""
+)
+def ring_replicas(spark, d):
+    nts = ring.parse_replication({"class": "NetworkTopologyStrategy", "dc1": "2", "dc2": "2"})
+    rows = [(str(r.start), r.end, ",".join(sorted(i.node for i in who))) for r, who in ring.replica_map(_ring(), nts) if 0 <= r.start < 500]
+    return spark.createDataFrame(rows, "a string, range_end bigint, replicas string")
+
+
+@query("select cast(i * 33 as bigint) as range_start, cast(least(i * 33 + 33, 100) as bigint) as range_end from range(4) t(i)")
+def range_split(spark, d):
+    return spark.createDataFrame([(r.start, r.end) for r in ring.split_range(ring.Range(0, 100), 3)], "range_start bigint, range_end bigint")
+
+
+@query("select user_id, cast(floor(user_id * 37 % 1000 / 250) as bigint) as part, count(*) as n from events group by all")
+def token_to_partition(spark, d):
+    cuts = [250, 500, 750]
+    token = F.col(PK) * 37 % 1000
+    part = sum((F.when(token >= c, 1).otherwise(0) for c in cuts[1:]), F.when(token >= cuts[0], 1).otherwise(0))
+    return _events(spark, d).groupBy(PK, part.cast("long").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select * from (values ('ONE',1::bigint),('TWO',2),('THREE',3),('QUORUM',4),('ALL',6),('LOCAL_QUORUM',2),('EACH_QUORUM',4),('LOCAL_ONE',1),('ANY',1)) t(level, needed)")
+def cl_block_for(spark, d):
+    nts = ring.parse_replication({"class": "NetworkTopologyStrategy", "dc1": "3", "dc2": "3"})
+    levels = ["ONE", "TWO", "THREE", "QUORUM", "ALL", "LOCAL_QUORUM", "EACH_QUORUM", "LOCAL_ONE", "ANY"]
+    return spark.createDataFrame([(x, ring.block_for(x, nts, "dc1")) for x in levels], "level string, needed bigint")
+
+
+@query("select * from (values ('EACH_QUORUM',false),('LOCAL_QUORUM',true),('ONE',true),('SERIAL',false)) t(level, allowed)")
+def cl_validate(spark, d):
+    nts = ring.parse_replication({"class": "NetworkTopologyStrategy", "dc1": "3"})
+
+    def allowed(level: str) -> bool:
+        try:
+            ring.validate_level(level, nts, "dc1")
+            return True
+        except (ValueError, NotImplementedError):
+            return False
+
+    return spark.createDataFrame([(x, allowed(x)) for x in ("EACH_QUORUM", "LOCAL_QUORUM", "ONE", "SERIAL")], "level string, allowed boolean")
+
+
+@query("select 'NetworkTopologyStrategy' as strategy, cast(5 as bigint) as total, 'DC1,DC2' as centres")
+def rf_parse(spark, d):
+    r = ring.parse_replication({"class": "org.example.locator.NetworkTopologyStrategy", "dc1": "3", "dc2": "2"})
+    return spark.createDataFrame([(r.strategy, r.total, ",".join(sorted(r.factors)))], "strategy string, total bigint, centres string")
+
+
+@query("select distinct l_suppkey % 3 as replica from lineitem where l_suppkey % 3 < 2")
+def replica_candidates(spark, d):
+    return _lines(spark, d).select((F.col("l_suppkey") % 3).alias("replica")).where("replica < 2").distinct()
+
+
+@query("select * from (values ('n0',true),('n2',true),('n1',false)) t(node, is_primary)")
+def replica_split(spark, d):
+    a, b, c = _ring()[:3]
+    first, rest = ring.choose_replicas([(b, "DOWN"), (a, "UP"), (c, "UNKNOWN")], 2)
+    return spark.createDataFrame([(i.node, True) for i in first] + [(i.node, False) for i in rest], "node string, is_primary boolean")
+
+
+@query("select * from (values ('n0'),('n3')) t(node)")
+def replica_failover(spark, d):
+    def opener(i):
+        if i.node == "n1":
+            raise OSError("down")
+        return i.node
+
+    r = _ring()
+    return spark.createDataFrame([(x,) for x in ring.open_replicas(r[:2], r[3:], opener)], "node string")
+
+
+@query("select l_suppkey % 3 as replica, count(*) as n from lineitem where l_returnflag <> 'R' or l_suppkey % 3 = 0 group by all")
+def repair_aware(spark, d):
+    files = _lines(spark, d).select((F.col("l_suppkey") % 3).alias("replica"), (F.col("l_returnflag") == "R").alias("repaired"))
+    return table.unrepaired_or_primary(files, "repaired", F.col("replica") == 0).groupBy("replica").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select user_id, event_id % 3 as file, cast(sum(octet_length(encode(props)) + 8) as bigint) as uncompressed, cast(sum(octet_length(encode(props))) as bigint) as compressed from events group by all")
+def src_partition_size(spark, d):
+    e = _events(spark, d).withColumn("file", F.col("event_id") % 3)
+    return table.partition_sizes(e, [PK], "file", F.octet_length("props") + 8, F.octet_length("props"))
+
+
+@query("select event_id, coalesce(lead(event_id * 10) over (partition by event_id % 3 order by event_id * 10), 1000000000) - event_id * 10 as uncompressed from events")
+def partition_size_index(spark, d):
+    e = _events(spark, d).select("event_id", (F.col("event_id") % 3).alias("file"), (F.col("event_id") * 10).alias("at"), F.lit(1000000000).cast("long").alias("len"))
+    return table.partition_sizes_from_index(e, "file", "at", "len").select("event_id", "uncompressed")
+
+
+# --- change events --------------------------------------------------------------------------------------------
+
+
+@query(
+    """select event_id, case when event_id % 211 = 0 then 'PARTITION_DELETE' when event_id % 97 = 0 then 'ROW_DELETE' when event_id % 89 = 0 then 'RANGE_DELETE' when event_id % 13 = 0 then 'COMPLEX_ELEMENT_DELETE'
+    when event_id % 11 = 0 then 'DELETE' when event_type = 'signup' then 'INSERT' else 'UPDATE' end as kind from events"""
+)
+def cdc_kind(spark, d):
+    return _events(spark, d).select("event_id", cdc.kind(_every(211), _every(97), _every(89), _every(13), _every(11), F.col(CK) == "signup").alias("kind"))
+
+
+@query("select event_id, case when event_id % 3 <> 0 then 'value' || case when event_id % 11 = 0 then '-' else '+' end else '' end || case when event_id % 5 <> 0 then 'props+' else '' end as columns from events")
+def cdc_event_build(spark, d):
+    v = cdc.value("value", "double", F.when(~_every(11), F.col("value").cast("string")))
+    cells = cdc.touched((~_every(3), v), (~_every(5), cdc.value("props", "text", F.col("props"))))
+    shown = F.array_join(F.transform(cells, lambda c: F.concat(c["Name"], F.when(c["Value"].isNull(), "-").otherwise("+"))), "")
+    return _events(spark, d).select("event_id", shown.alias("columns"))
+
+
+@query("select user_id, cast(sum(case when event_id % 13 = 0 then 1 else 0 end) as bigint) as n_dead, cast(sum(case when event_id % 13 = 0 then 0 else 1 end) as bigint) as n_live from events group by all")
+def cdc_complex(spark, d):
+    cells = _events(spark, d).groupBy(PK).agg(F.collect_list(F.struct("event_id", _every(13).alias("dead"))).alias("c"))
+    return cells.select(PK, F.size(F.filter("c", lambda x: x["dead"])).cast("long").alias("n_dead"), F.size(F.filter("c", lambda x: ~x["dead"])).cast("long").alias("n_live"))
+
+
+@query("with s as (select user_id, arg_max(props, ts) as stored from events where event_type <> 'click' group by all) select event_id, stored from events left join s using (user_id) where event_type = 'click' and event_id % 10 = 0")
+def cdc_list_readback(spark, d):
+    e = _events(spark, d)
+    stored = reconcile.merge_cells(e.where(F.col(CK) != "click"), [PK], "ts", [Cell("stored", F.col("props"))])
+    return e.where((F.col(CK) == "click") & _every(10)).join(stored, PK, "left").select("event_id", "stored")
+
+
+@query(
+    """with m as (select user_id, event_id, row_number() over (partition by user_id order by event_id) rn, count(*) over (partition by user_id) n from events), o as (select *, lead(event_id) over (partition by user_id order by event_id) as hi from m)
+    select user_id, event_id as lo, hi from o where rn < n"""
+)
+def cdc_range_tombstone(spark, d):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(PK)
+    rn, n = F.row_number().over(w.orderBy("event_id")), F.count(F.lit(1)).over(w)
+    marks = _events(spark, d).select(PK, F.col("event_id").alias("at"), F.when(rn == 1, "open").when(rn == n, "close").otherwise("boundary").alias("kind"), F.lit(True).alias("inclusive"), n.alias("n")).where("n > 1")
+    return cdc.range_deletions(marks, [PK], "at").where("not unclosed").select(PK, "lo", "hi")
+
+
+@query("select event_id, case when event_id % 7 <> 0 then event_id % 7 * 86400 end as ttl from events")
+def cdc_ttl(spark, d):
+    return _events(spark, d).select("event_id", F.when(~_every(7), F.col("event_id") % 7 * 86400).alias("ttl"))
+
+
+@query("select user_id, event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as modified from events group by all")
+def cdc_timestamp(spark, d):
+    return _events(spark, d).groupBy(PK, CK).agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("modified"))
+
+
+@query("select user_id, event_id, row_number() over (partition by user_id order by ts) as seq from events")
+def cdc_order(spark, d):
+    from pyspark.sql import Window
+
+    return _events(spark, d).select(PK, "event_id", F.row_number().over(Window.partitionBy(PK).orderBy("ts")).cast("long").alias("seq"))
+
+
+@query("select count(*) as n_updates from (select distinct user_id, event_type, props from events)")
+def cdc_digest(spark, d):
+    return _events(spark, d).select(cdc.digest(PK, CK, "props").alias("digest")).distinct().agg(F.count(F.lit(1)).alias("n_updates"))
+
+
+def _copies(e: DataFrame) -> DataFrame:
+    """Copies of each mutation on three replicas, some of them missing."""
+    return e.withColumn("replica", F.explode(F.array(*(F.lit(i) for i in range(3))))).where((F.col("event_id") + F.col("replica") * 7) % 5 > 1)
+
+
+_COPIES_SQL = "c as (select e.*, r as replica from events e, range(3) t(r) where (event_id + r * 7) % 5 > 1)"
+
+
+@query(f"with {_COPIES_SQL} select event_id, count(*) as copies from c group by all having count(*) >= 2")
+def cdc_quorum(spark, d):
+    return cdc.quorum(_copies(_events(spark, d)), "event_id", 2, "replica").where("published").select("event_id", "copies")
+
+
+@query("select user_id, event_type, count(*) as n_events from events group by all")
+def cdc_no_compaction(spark, d):
+    published = cdc.quorum(_events(spark, d), "event_id", 1).where("published")
+    return _events(spark, d).join(published, "event_id", "left_semi").groupBy(PK, CK).agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@query("select * from (values ('a',1::bigint),('b',2),('c',3)) t(keyspace, needed)")
+def cdc_required_replicas(spark, d):
+    factors = {"a": 1, "b": 3, "c": 5}
+    rows = [(k, ring.block_for("QUORUM", ring.parse_replication({"class": "SimpleStrategy", "replication_factor": str(n)}))) for k, n in factors.items()]
+    return spark.createDataFrame(rows, "keyspace string, needed bigint")
+
+
+@query("select event_id from events where event_type <> 'error' and user_id * 37 % 1000 > 100 and user_id * 37 % 1000 <= 600 and ts >= timestamp '2024-01-05 00:00:00' - interval 600 second")
+def cdc_filters(spark, d):
+    tracked = _events(spark, d).where((F.col(CK) != "error") & tokens.in_range(F.col(PK) * 37 % 1000, 100, 600))
+    return cdc.within_window(tracked, "ts", F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")).select("event_id")
+
+
+@query("select 'events' as tbl, count(*) as n from events union all select 'orders', count(*) from orders")
+def cdc_multi_table(spark, d):
+    a = _events(spark, d).select(F.lit("events").alias("tbl"))
+    b = spark.read.parquet(f"{d}/orders.parquet").select(F.lit("orders").alias("tbl"))
+    return a.unionByName(b).groupBy("tbl").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select event_id from events where ts >= (select max(ts) from events) - interval 6000 second")
+def st_window(spark, d):
+    e = _events(spark, d)
+    return cdc.within_window(e, "ts", e.agg(F.max("ts")).scalar(), 6000).select("event_id")
+
+
+@query(
+    f"with {_COPIES_SQL}, one as (select event_id, count(*) as n from c where replica = 0 group by all), two as (select event_id, count(*) as n from c where replica > 0 group by all) select event_id, coalesce(one.n, 0) + two.n as copies from two left join one using (event_id) where coalesce(one.n, 0) < 2 and coalesce(one.n, 0) + two.n >= 2"
+)
+def st_late_publish(spark, d):
+    c = _copies(_events(spark, d))
+    first = cdc.quorum(c.where("replica = 0"), "event_id", 2)
+    now = c.where("replica > 0")
+    both = cdc.quorum(now, "event_id", 2, seen=first.where("not published"))
+    return both.join(now.select("event_id").distinct(), "event_id", "left_semi").where("published").select("event_id", "copies")
+
+
+@query(f"with {_COPIES_SQL}, s as (select event_id, replica % 2 as part, count(*) as n from c group by all) select event_id, max(n) as copies from s group by all")
+def st_state_merge(spark, d):
+    c = _copies(_events(spark, d))
+    state = lambda part: cdc.quorum(c.where(F.col("replica") % 2 == part), "event_id", 9).select("event_id", "copies")
+    return cdc.merged_states(state(0), state(1), identity="event_id")
+
+
+_LOG_SQL = "l as (select 'i' || (user_id % 3) as instance, event_id // 1000 as segment, event_id % 1000 as position from events)"
+
+
+def _log(spark, d):
+    return _events(spark, d).select(F.concat(F.lit("i"), (F.col(PK) % 3).cast("string")).alias("instance"), F.floor(F.col("event_id") / 1000).cast("long").alias("segment"), (F.col("event_id") % 1000).alias("position"))
+
+
+@query(f"with {_LOG_SQL} select instance, segment, position from l where (segment, position) >= (0, 500)")
+def st_marker_skip(spark, d):
+    markers = spark.createDataFrame([(f"i{i}", 0, 500) for i in range(3)], "instance string, segment bigint, position bigint")
+    return cdc.after_markers(_log(spark, d), markers)
+
+
+@query(f"with {_LOG_SQL} select instance, max(segment * 1000 + position) as marker from l group by all")
+def st_latest_offset(spark, d):
+    return cdc.latest_markers(_log(spark, d)).select("instance", (F.col("segment") * 1000 + F.col("position")).alias("marker"))
+
+
+@query(f"with {_LOG_SQL} select instance, min(segment * 1000 + position) as marker from (select * from l where position > 10) group by all")
+def st_markers_merge(spark, d):
+    e = _log(spark, d).where("position > 10")
+    low = e.groupBy("instance").agg(F.min(F.struct("segment", "position")).alias("m")).select("instance", "m.segment", "m.position")
+    return cdc.least_markers(cdc.latest_markers(e), low).select("instance", (F.col("segment") * 1000 + F.col("position")).alias("marker"))
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
