@@ -10,10 +10,11 @@ expected to be met; a text that missed one is done again up to a later time.
 
 Texts of equal multisets form one class first; only its least id goes on. Classes that agree in a band share a
 bucket. No bucket is collected or expanded into all its pairs:
-1. each member is compared with the bucket's least id (its pivot), linear in the members;
-2. verified links are joined into components;
-3. buckets with more than one component are cut into blocks; pairs of blocks are compared by signature, and only
-   pairs of different components that agree in at least ESTIMATE of the signature are emitted and verified.
+1. each member is compared with the bucket's pivot, the member that meets most others in all its buckets: linear in
+   the members;
+2. verified links are joined into components; buckets with more than one component get a further pivot, a few times;
+3. buckets that still have more than one component are cut into blocks; pairs of blocks are compared by signature;
+   pairs of different components that agree in at least ESTIMATE of it are verified there, and only links are emitted.
 Verification is exact on the multisets (32-bit shingle hashes). Components of all verified links are the classes.
 
 Defined results: null texts count as empty; all texts without a word form one class; repeated rows share a class;
@@ -40,6 +41,8 @@ BANDS, ROWS = 25, 5
 COMPONENTS = BANDS * ROWS
 #: Least share of equal components for a pair to be verified: four standard deviations under SIMILARITY.
 ESTIMATE = 0.66
+#: Times that the members of a bucket with several components are compared with a pivot.
+STAR_ROUNDS = 2
 #: Members of a bucket's block.
 BLOCK = 256
 #: Up to so many ids are broadcast to fetch their texts; beyond that they are joined.
@@ -223,12 +226,17 @@ def jaccard(a: bytes, b: bytes) -> float:
     return both / (len(p) + len(q) - both)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose similarity is at least `similarity`, with it."""
-    ids = durable(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "wanted")
+def bags_of(ids: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(doc, bag) of the documents in the table (_id)."""
+    ids = durable(ids.distinct(), "wanted")
     few = ids.count() <= BROADCAST_IDS
     wanted = docs.select(key, text).join(F.broadcast(ids) if few else ids, F.col(key) == F.col("_id"), "left_semi")
-    held = durable(bags(wanted, text, key).dropDuplicates(["doc"]), "bags")
+    return durable(bags(wanted, text, key).dropDuplicates(["doc"]), "bags")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose similarity is at least `similarity`, with it."""
+    held = bags_of(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")), docs, text, key)
     both = pairs.join(held.select(F.col("doc").alias("b"), F.col("bag").alias("bag_b")), "b").join(held.select(F.col("doc").alias("a"), F.col("bag").alias("bag_a")), "a")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,31 +263,39 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def similar_signatures(rows: Iterator[pd.DataFrame], estimate: float) -> Iterator[pd.DataFrame]:
-    """Pairs of different components in each (bucket, i, j) of rows sorted by these; a group may span batches."""
-    rest = None
+def compare_blocks(group: pd.DataFrame, estimate: float, similarity: float) -> list[tuple]:
+    """Links between different components of one pair of blocks of a bucket.
+
+    A pair that shares several buckets is compared in the first of these only. Pairs whose signatures agree enough are
+    verified here, so that only links leave the task.
+    """
     least = int(np.ceil(estimate * COMPONENTS))
+    s = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(len(group), COMPONENTS)
+    c, block, ids, bag = group["component"].to_numpy(), group["block"].to_numpy(), group["rep"].to_numpy(), group["bag"].to_numpy()
+    i, j, band = group["i"].iloc[0], group["j"].iloc[0], group["band"].iloc[0]
+    right = np.flatnonzero(block == j)
+    out = []
+    for x in np.flatnonzero(block == i):
+        ys = right[(c[right] != c[x]) & ((right > x) if i == j else True)]
+        if len(ys):
+            same = s[ys] == s[x]
+            first = same.reshape(len(ys), BANDS, ROWS).all(2).argmax(1)
+            for y in ys[(same.sum(1) >= least) & (first == band)]:
+                if (found := jaccard(bag[x], bag[y])) >= similarity:
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y]), found))
+    return out
 
-    def compare(group: pd.DataFrame) -> list[tuple]:
-        s = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(len(group), COMPONENTS)
-        c, block, ids = group["component"].to_numpy(), group["block"].to_numpy(), group["rep"].to_numpy()
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
-        left = np.flatnonzero(block == i)
-        right = np.flatnonzero(block == j)
-        out = []
-        for x in left:
-            ys = right[(c[right] != c[x]) & ((right > x) if i == j else True)]
-            if len(ys):
-                ys = ys[(s[ys] == s[x]).sum(1) >= least]
-                out += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in ys]
-        return out
-
-    def pairs(whole: pd.DataFrame) -> pd.DataFrame:
-        found: set[tuple] = set()
+
+def links_in_blocks(rows: Iterator[pd.DataFrame], estimate: float, similarity: float) -> Iterator[pd.DataFrame]:
+    """compare_blocks() for each (bucket, i, j) of rows sorted by these; a group may span batches."""
+    rest = None
+
+    def links(whole: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple] = []
         for _, group in whole.groupby(["bucket", "i", "j"], sort=False):
             if len(group) > 1:
-                found.update(compare(group))
-        return pd.DataFrame(sorted(found), columns=["a", "b"])
+                found += compare_blocks(group, estimate, similarity)
+        return pd.DataFrame(found, columns=["a", "b", "similarity"])
 
     for batch in rows:
         batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
@@ -289,9 +305,9 @@ def similar_signatures(rows: Iterator[pd.DataFrame], estimate: float) -> Iterato
         same = (batch["bucket"] == last["bucket"]) & (batch["i"] == last["i"]) & (batch["j"] == last["j"])
         whole, rest = batch[~same], batch[same].reset_index(drop=True)
         if len(whole):
-            yield pairs(whole)
+            yield links(whole)
     if rest is not None and len(rest):
-        yield pairs(rest)
+        yield links(rest)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -302,27 +318,41 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     same = durable(rows.groupBy(*prints).agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("_copies")), "same")
     reps = rows.join(same.select(F.col("rep").alias("doc")), "doc", "left_semi").where(F.col("n_shingles") > 0).dropDuplicates(["doc"])
     reps = durable(reps.select(F.col("doc").alias("rep"), "bands", "signature"), "reps")
-    banded = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = durable(banded.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    banded = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
+    shared = durable(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = durable(banded.join(shared, "bucket"), "members")
-    star = members.where(F.col("rep") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    star = durable(star, "star")
-    links = verified(star, docs, text, key, similarity)
-    parts = components(links)
-    placed = members.join(parts, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    placed = durable(placed, "placed")
+    # How many others a class meets in all its buckets: the most central member of a bucket is its best pivot.
+    degrees = members.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("degree"))
+    placed = durable(members.join(degrees, "rep").select("bucket", "band", "rep", "n", "degree", F.col("rep").alias("component"), F.lit(False).alias("used")), "placed")
+    tried = links = None  # star pairs so far, and those that are links
+    for _ in range(STAR_ROUNDS):
+        better = F.struct("degree", F.col("rep"), "component")
+        pivots = placed.groupBy("bucket").agg(F.max(F.when(~F.col("used"), better)).alias("p"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+        pivots = durable(pivots.where("_lo != _hi and p is not null").select("bucket", F.col("p.rep").alias("pivot"), F.col("p.component").alias("pivot_component")), "pivots")
+        star = placed.join(pivots, "bucket").where("component != pivot_component")
+        star = star.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
+        star = durable(star if tried is None else star.join(tried, ["a", "b"], "left_anti"), "star")
+        new = verified(star, docs, text, key, similarity)
+        tried = star if tried is None else tried.union(star)
+        links = new if links is None else links.union(new)
+        parts = components(links)
+        placed = placed.join(pivots.select("bucket", "pivot"), "bucket", "left").join(parts.select("node", F.col("component").alias("_part")), F.col("rep") == F.col("node"), "left")
+        used = F.col("used") | F.coalesce(F.col("rep") == F.col("pivot"), F.lit(False))
+        placed = durable(placed.select("bucket", "band", "rep", "n", "degree", F.coalesce("_part", "rep").alias("component"), used.alias("used")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo != _hi").select("bucket")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     open_ = placed.join(mixed, "bucket").where("n > 2")  # a bucket of two was settled by its pivot
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    open_ = open_.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component")
-    open_ = open_.join(reps.select("rep", "signature"), "rep")
+    open_ = open_.select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component")
+    open_ = durable(open_, "open")
+    held = bags_of(open_.select(F.col("rep").alias("_id")), docs, text, key)
+    open_ = open_.join(reps.select("rep", "signature").join(held.select(F.col("doc").alias("rep"), "bag"), "rep"), "rep")
     open_ = open_.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
     kind = docs.schema[key].dataType.simpleString()
-    more = open_.mapInPandas(lambda it: similar_signatures(it, ESTIMATE), f"a {kind}, b {kind}").distinct()
-    more = durable(more.join(star, ["a", "b"], "left_anti"), "more")
+    more = open_.mapInPandas(lambda it: links_in_blocks(it, ESTIMATE, similarity), f"a {kind}, b {kind}, similarity double")
+    more = durable(more, "more")
     if not more.isEmpty():
-        links = durable(links.union(verified(more, docs, text, key, similarity)), "links")
+        links = durable(links.union(more).dropDuplicates(["a", "b"]), "links")
         parts = components(links)
     classes = durable(same.join(parts, F.col("rep") == F.col("node"), "left").select(*prints, "_copies", F.coalesce("component", "rep").alias("class_id")), "classes")
     packed = F.concat_ws("/", *prints).alias("_print")
