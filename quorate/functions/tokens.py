@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _M = (1 << 64) - 1
 
@@ -119,19 +120,19 @@ def _int_tokens(values: np.ndarray, width: int) -> np.ndarray:
     return np.where(token == np.iinfo(np.int64).min, np.iinfo(np.int64).max, token)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def murmur3(key: pd.Series) -> pd.Series:
     """Token of key bytes."""
     return key.map(lambda b: None if b is None else murmur3_token(bytes(b))).astype("Int64")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def murmur3_bigint(key: pd.Series) -> pd.Series:
     """Token of a bigint key, vectorised."""
     return pd.Series(_int_tokens(key.to_numpy(), 8))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def murmur3_int(key: pd.Series) -> pd.Series:
     """Token of an int key, vectorised."""
     return pd.Series(_int_tokens(key.to_numpy(), 4))
