@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,11 +140,15 @@ class Vocabulary:
         for ws in texts:
             for w in ws:
                 self.number.setdefault(w, len(self.number))
-        grams = [grams_of(w) for w in self.number]
-        self.slots = np.array([slot_of(w) for w in self.number], np.int64)
-        self.sizes = np.array([len(g) for g in grams], np.int64)
+        flat, sizes = array("i"), array("i")  # compact: the driver's memory is small
+        for w in self.number:
+            own = grams_of(w)
+            flat.extend(own)
+            sizes.append(len(own))
+        self.slots = np.fromiter(map(slot_of, self.number), np.int32, len(self.number))
+        self.sizes = np.array(sizes, np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.grams = np.array([x for g in grams for x in g], np.int64)
+        self.grams = np.array(flat, np.int32)
 
 
 def gradients(p: Parameters, vocabulary: Vocabulary, ids: np.ndarray, y: np.ndarray) -> Parameters:
@@ -225,12 +230,14 @@ class Network:
                 rows[w] = i
             while at + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            grams = [grams_of(w) for w in new]
-            sizes = np.array([len(g) for g in grams])
-            flat = np.array([x for g in grams for x in g])
-            sums = np.add.reduceat(self.p["grams"][flat], np.concatenate([[0], np.cumsum(sizes)])[:-1], axis=0)
-            vectors = self.p["words"][[slot_of(w) for w in new]] + sums / sizes[:, None].astype(np.float32)
-            self.table[at : at + len(new)] = vectors @ self.project + self.bias
+            for i in range(0, len(new), 10_000):
+                some = new[i : i + 10_000]
+                grams = [grams_of(w) for w in some]
+                sizes = np.array([len(g) for g in grams])
+                flat = np.array([x for g in grams for x in g])
+                sums = np.add.reduceat(self.p["grams"][flat], np.concatenate([[0], np.cumsum(sizes)])[:-1], axis=0)
+                vectors = self.p["words"][[slot_of(w) for w in some]] + sums / sizes[:, None].astype(np.float32)
+                self.table[at + i : at + i + len(some)] = vectors @ self.project + self.bias
         return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
 
     def window_logits(self, ids: np.ndarray, batch: int = 1024) -> np.ndarray:
@@ -324,13 +331,15 @@ def train(texts: list[str | None], toxic: list[int], steps: int = STEPS, seed: i
     for i, (ws, _) in enumerate(docs):
         numbers = np.array([vocabulary.number[w] for w in ws])
         for s in window_starts(len(ws)):
-            row = np.full(WINDOW, -1)
+            row = np.full(WINDOW, -1, np.int32)
             own = numbers[s : s + WINDOW]
             row[: len(own)] = own
             windows.append(row)
             owner.append(i)
     windows, owner = np.array(windows), np.array(owner)
     label = np.array([y for _, y in docs])[owner]
+    n_docs = len(docs)
+    del docs  # the words are numbers by now
     bad, good = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     if not len(bad) or not len(good):
         return None
@@ -345,7 +354,7 @@ def train(texts: list[str | None], toxic: list[int], steps: int = STEPS, seed: i
             names = list(vocabulary.number)
             number = np.concatenate([net.ids(names), [0]])  # the -1 of a window without a word takes the last
             logits = net.window_logits(number[windows[bad]])
-            most = np.full(len(docs), -np.inf)
+            most = np.full(n_docs, -np.inf)
             np.maximum.at(most, owner[bad], logits)
             pick_bad = bad[logits >= np.minimum(most[owner[bad]], 1.0)]
             some = r.choice(good, min(len(good), 6_000), replace=False)
