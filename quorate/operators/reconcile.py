@@ -12,18 +12,26 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def tie_key(value: Column, kind: str) -> Column:
+def tie_key(value: Column, kind: T.DataType) -> Column:
     """What decides between equal write times: the order of the serialised bytes, not of the values.
 
-    Big-endian two's complement puts negative numbers above the others; floats likewise by their bits.
+    Big-endian two's complement puts negative numbers above the others; floats likewise by their bits. Maps have no
+    order in Spark: their text decides.
     """
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return F.struct((value < 0).alias("negative"), value.alias("value"))
-    if kind in ("float", "double"):
-        return F.struct((value < 0).alias("negative"), F.abs(value).alias("value"))
-    return F.struct(F.lit(False).alias("negative"), value.alias("value"))
+    if isinstance(kind, (T.IntegralType, T.FractionalType)) and not isinstance(kind, T.DecimalType):
+        return F.struct((value < 0).alias("negative"), (F.abs(value) if isinstance(kind, T.FractionalType) else value).alias("value"))
+    return value if orderable(kind) else F.to_json(value)
+
+
+def orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind)
+    return not isinstance(kind, T.MapType)
 
 
 @dataclass(frozen=True)
@@ -47,12 +55,15 @@ def merge_rows(versions: DataFrame, keys: Sequence[str], order: Sequence[str], c
 def merge_cells(versions: DataFrame, keys: Sequence[str], ts: str, cells: Sequence[Cell], now: Column | None = None, keep_times: bool = False) -> DataFrame:
     """The latest live cell of each column and key; with keep_times also `<name>_ts`, the winner's write time."""
     aggregates = []
-    for c in cells:
+    kinds = [f.dataType for f in versions.select(*(c.value.alias(c.name) for c in cells)).schema] if cells else []
+    for c, kind in zip(cells, kinds):
         dead = F.coalesce(c.is_dead, F.lit(False)) if c.is_dead is not None else F.lit(False)
         ends = c.expires_at if c.expires_at is not None else F.lit(None).cast("timestamp_ntz")
+        rank = F.struct(F.col(ts).alias("ts"), dead.alias("dead"), tie_key(c.value, kind).alias("tie"), F.coalesce(ends, F.lit("9999-12-31").cast("timestamp_ntz")).alias("until"))
+        rank = F.when(c.is_set, rank) if c.is_set is not None else rank
         won = F.struct(F.col(ts).alias("ts"), dead.alias("dead"), c.value.alias("value"), ends.alias("ends"))
-        aggregates.append(F.max(F.when(c.is_set, won) if c.is_set is not None else won).alias(f"_{c.name}"))
-    out = versions.groupBy(*keys).agg(*aggregates)
+        aggregates.append(F.max_by(won, rank).alias(f"_{c.name}"))
+    out = versions.groupBy(*keys).agg(*aggregates) if aggregates else versions.select(*keys).distinct()
     columns = []
     for c in cells:
         won = F.col(f"_{c.name}")
@@ -98,6 +109,49 @@ def without_ranges(versions: DataFrame, ranges: DataFrame, partition: Sequence[s
     return v.join(r, same & above & below & (F.col(f"v.{ts}") <= F.col("r.deleted_at")), "left_anti")
 
 
+def inside(clustering: Sequence[Column], lo: Sequence[Column], hi: Sequence[Column], lo_inclusive: Column, hi_inclusive: Column) -> Column:
+    """Whether a clustering key lies in an interval whose bounds may name only its first columns (the others null).
+
+    A bound without any column is open. Columns are compared one after the other, a bound ends where it is null.
+    """
+
+    def side(at: int, bound: Sequence[Column], closed: Column, beyond) -> Column:
+        if at == len(clustering):
+            return closed
+        here = beyond(clustering[at], bound[at]) | ((clustering[at] == bound[at]) & side(at + 1, bound, closed, beyond))
+        return F.when(bound[at].isNull(), closed if at else F.lit(True)).otherwise(here)
+
+    return side(0, lo, lo_inclusive, lambda c, b: c > b) & side(0, hi, hi_inclusive, lambda c, b: c < b)
+
+
+def without_deletions(versions: DataFrame, deletions: DataFrame, partition: Sequence[str], clustering: Sequence[str], ts: str) -> DataFrame:
+    """Hide what deletions of partitions, rows and clustering intervals cover.
+
+    `deletions`: the partition columns, `lo_<c>` and `hi_<c>` for each clustering column c, lo_inclusive, hi_inclusive,
+    deleted_at. Without bounds a partition goes, with equal whole bounds a row; both are pre-aggregated and joined by
+    equality. Only true intervals need the join on a condition, still by the partition's key.
+    """
+    bounds = [F.col(f"{side}_{c}") for side in ("lo", "hi") for c in clustering]
+    none, row = F.lit(True), F.col("lo_inclusive") & F.col("hi_inclusive")
+    for b in bounds:
+        none = none & b.isNull()
+    for c in clustering:
+        row = row & F.coalesce(F.col(f"lo_{c}") == F.col(f"hi_{c}"), F.lit(False))
+    row = F.coalesce(row, F.lit(False)) & ~none
+    out = without_deleted(versions, deletions.where(none), partition, ts, "deleted_at")
+    if not clustering:
+        return out
+    rows = deletions.where(row).select(*partition, *(F.col(f"lo_{c}").alias(c) for c in clustering), "deleted_at")
+    out = without_deleted(out, rows, [*partition, *clustering], ts, "deleted_at")
+    v, d = out.alias("v"), deletions.where(~none & ~row).alias("d")
+    hit = F.col(f"v.{ts}") <= F.col("d.deleted_at")
+    for p in partition:
+        hit = hit & (F.col(f"v.{p}") == F.col(f"d.{p}"))
+    side = lambda name: [F.col(f"d.{name}_{c}") for c in clustering]
+    closed = lambda name: F.coalesce(F.col(f"d.{name}_inclusive"), F.lit(False))
+    return v.join(d, hit & inside([F.col(f"v.{c}") for c in clustering], side("lo"), side("hi"), closed("lo"), closed("hi")), "left_anti")
+
+
 def merge_elements(elements: DataFrame, keys: Sequence[str], path: str, ts: str, value: str, dead: Column | None = None) -> DataFrame:
     """Unfrozen collections: the latest cell of each element; dead elements go after they have won."""
     best = F.max(F.struct(F.col(ts).alias("ts"), (dead if dead is not None else F.lit(False)).alias("dead"), F.col(value).alias("value"))).alias("_b")

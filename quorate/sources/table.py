@@ -8,8 +8,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorate.functions.schema import TableSpec, parse_table
-from quorate.operators.reconcile import Cell, last_modified, merge_cells, visible_rows
+from quorate.functions.schema import Field, TableSpec, parse_table
+from quorate.operators.reconcile import Cell, last_modified, merge_cells, visible_rows, without_deletions
 
 WRITE_TIME = "write_ts"
 
@@ -39,13 +39,26 @@ def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | No
     that it doesn't touch from those it deletes (null), `expires_at` its expiry. Columns of the files that the
     schema doesn't have are dropped columns and are ignored; columns that the files lack are null. Filters and
     column selection on the result reach the scan: filters on keys pass the merge, whose groups are the keys.
+
+    Option `deletionDirs`: deletions of partitions, rows and clustering intervals (see `without_deletions`). They hide
+    rows; a static value goes only with its whole partition. Unfrozen collections are merged by element where the
+    files give a column's elements: see `merged_collection`.
     """
     spec = spec_from_options(options)
-    dirs = [d for d in {k.lower(): v for k, v in options.items()}["dirs"].split(",") if d]
-    versions = spark.read.option("mergeSchema", "true").parquet(*dirs)
+    o = {k.lower(): v for k, v in options.items()}
+    read = lambda key: spark.read.option("mergeSchema", "true").parquet(*(d for d in o[key].split(",") if d))
+    versions = read("dirs")
     have = set(versions.columns)
     keys = spec.partition_keys + spec.clustering_keys
+    for_statics = versions
+    if o.get("deletiondirs"):
+        deletions = read("deletiondirs")
+        for_rows = without_deletions(versions, deletions, spec.partition_keys, spec.clustering_keys, WRITE_TIME)
+        for_statics = without_deletions(versions, deletions.where(whole_partition(deletions, spec)), spec.partition_keys, [], WRITE_TIME) if spec.statics else versions
+        versions = for_rows
     untouched = F.coalesce(F.col("unset"), F.array()) if "unset" in have else None
+    by_element = [f for f in spec.fields if f.name in spec.values and f"{f.name}_put" in have]
+    merged_whole = [n for n in spec.values if n not in {f.name for f in by_element}]
 
     def cells(names: Sequence[str]) -> list[Cell]:
         kinds = {f.name: f.type for f in spec.fields}
@@ -56,15 +69,52 @@ def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | No
             out.append(Cell(n, v, is_set, v.isNull(), F.col("expires_at") if "expires_at" in have else None))
         return out
 
-    rows = merge_cells(versions, keys, WRITE_TIME, cells(spec.values), now, keep_times=bool(spec.features))
+    rows = merge_cells(versions, keys, WRITE_TIME, cells(merged_whole), now, keep_times=bool(spec.features))
+    for f in by_element:
+        rows = rows.join(merged_collection(versions, keys, f, now), keys, "left")
     rows = visible_rows(rows, spec.values, keys_only=not spec.values)
     if spec.features and spec.values:
         rows = last_modified(rows, spec.values)
     if spec.statics:
-        rows = rows.join(merge_cells(versions, spec.partition_keys, WRITE_TIME, cells(spec.statics), now), spec.partition_keys, "left")
+        rows = rows.join(merge_cells(for_statics, spec.partition_keys, WRITE_TIME, cells(spec.statics), now), spec.partition_keys, "left")
     return rows.select(*(f.name for f in spec.fields), *(x for x in spec.features if x in rows.columns))
 
 
+def whole_partition(deletions: DataFrame, spec: TableSpec) -> Column:
+    out = F.lit(True)
+    for c in spec.clustering_keys:
+        out = out & F.col(f"lo_{c}").isNull() & F.col(f"hi_{c}").isNull()
+    return out
+
+
+def merged_collection(versions: DataFrame, keys: Sequence[str], field: Field, now: Column | None = None) -> DataFrame:
+    """(keys, the collection, `<name>_ts`) of an unfrozen set, list or map from the elements that versions put and remove.
+
+    A version's `<name>_put` is a map from an element's path to its value (map: key to value; list: time-ordered path
+    to value; set: element to true). `<name>_removed` (array of paths) deletes elements, `<name>_replaced` (true)
+    everything older than the version. The latest cell of a path wins, and a deletion wins a tie. No live element: null.
+    """
+    name, have = field.name, set(versions.columns)
+    put = F.transform(F.map_entries(f"{name}_put"), lambda e: F.struct(e["key"].alias("path"), e["value"].alias("value"), F.lit(False).alias("dead")))
+    value_type = versions.schema[f"{name}_put"].dataType.valueType
+    put = F.coalesce(put, F.array().cast(versions.select(put.alias("x")).schema["x"].dataType))
+    if f"{name}_removed" in have:
+        gone = F.transform(F.col(f"{name}_removed"), lambda p: F.struct(p.alias("path"), F.lit(None).cast(value_type).alias("value"), F.lit(True).alias("dead")))
+        put = F.concat(put, F.coalesce(gone, F.array().cast(versions.select(gone.alias("x")).schema["x"].dataType)))
+    ends = F.col("expires_at") if "expires_at" in have else F.lit(None).cast("timestamp_ntz")
+    elements = versions.select(*keys, F.col(WRITE_TIME).alias("ts"), ends.alias("ends"), F.explode(put).alias("e"))
+    elements = elements.select(*keys, "ts", "e.path", "e.dead", F.col("e.value").alias("value"), "ends")
+    if f"{name}_replaced" in have:  # what the replacing version itself puts is younger than its deletion
+        cut = versions.where(F.col(f"{name}_replaced")).groupBy(*keys).agg(F.max(WRITE_TIME).alias("_cut"))
+        elements = elements.join(cut, list(keys), "left").where(F.col("_cut").isNull() | (F.col("ts") >= F.col("_cut"))).drop("_cut")
+    won = merge_cells(elements, [*keys, "path"], "ts", [Cell("value", F.col("value"), is_dead=F.col("dead") | F.col("value").isNull(), expires_at=F.col("ends"))], now, keep_times=True)
+    entries = F.array_sort(F.collect_list(F.struct("path", "value")))
+    out = won.where("value is not null").groupBy(*keys).agg(entries.alias("_e"), F.max("value_ts").alias(f"{name}_ts"))
+    kind = field.type_text.strip().lower()
+    whole = F.map_from_entries("_e") if kind.startswith("map") else F.transform("_e", lambda e: e["path"] if kind.startswith("set") else e["value"])
+    return out.select(*keys, whole.cast(field.type).alias(name), f"{name}_ts")
+
+
 def key_filters(spec: TableSpec, restricted: Mapping[str, Sequence]) -> list[tuple]:
     """All partition keys that = and IN filters name, if they restrict every partition key column; else none."""
     if any(k not in restricted for k in spec.partition_keys):

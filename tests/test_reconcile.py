@@ -56,6 +56,49 @@ def test_read_table(spark, tmp_path):
     assert got == {(1, 1): (6, "a", None), (2, 1): (7, "z", None)}
 
 
+def test_ties_follow_the_bytes(spark):
+    df = spark.createDataFrame([(1, 1, -1, -0.5), (1, 1, 7, 2.0)], "k int, ts int, i int, d double")
+    got = reconcile.merge_cells(df, ["k"], "ts", [Cell("i", F.col("i")), Cell("d", F.col("d")), Cell("m", F.create_map(F.lit("x"), F.col("i")))]).first()
+    assert (got["i"], got["d"], got["m"]) == (-1, -0.5, {"x": 7})
+
+
+def test_deletions_against_brute_force(spark):
+    r = random.Random(11)
+    rows = [(r.randint(0, 3), r.randint(0, 3), r.randint(0, 3), r.randint(0, 9)) for _ in range(400)]
+    dels = []
+    for _ in range(25):
+        lo, hi = ([r.randint(0, 3) for _ in range(n)] + [None] * (2 - n) for n in (r.randint(0, 2), r.randint(0, 2)))
+        dels.append((r.randint(0, 3), *lo, *hi, r.random() < 0.5, r.random() < 0.5, r.randint(0, 5)))
+    dels += [(1, 2, 2, 2, 2, True, True, 6), (2, None, None, None, None, True, True, 3)]
+    v = spark.createDataFrame(rows, "p int, a int, b int, ts int")
+    d = spark.createDataFrame(dels, "p int, lo_a int, lo_b int, hi_a int, hi_b int, lo_inclusive boolean, hi_inclusive boolean, deleted_at int")
+
+    def hidden(row, x):
+        lo, hi = ([c for c in part if c is not None] for part in (x[1:3], x[3:5]))
+        key = list(row[1:3])
+        above = not lo or key[: len(lo)] > lo or (x[5] and key[: len(lo)] == lo)
+        below = not hi or key[: len(hi)] < hi or (x[6] and key[: len(hi)] == hi)
+        return row[0] == x[0] and row[3] <= x[7] and above and below
+
+    want = sorted(row for row in rows if not any(hidden(row, x) for x in dels))
+    assert sorted(tuple(x) for x in reconcile.without_deletions(v, d, ["p"], ["a", "b"], "ts").select("p", "a", "b", "ts").collect()) == want
+    assert 0 < len(want) < len(rows)
+
+
+def test_read_table_with_deletions_and_collections(spark, tmp_path):
+    versions = [
+        (1, 1, 10, 5, 50, {"x": 1, "y": 2}, None, None), (1, 1, 20, 6, None, {"x": 3}, ["y"], None),
+        (1, 2, 10, 7, None, {"q": 1}, None, None), (1, 2, 30, None, None, {"z": 9}, None, True),
+        (2, 1, 10, 8, 60, None, None, None), (3, 1, 10, 9, 70, {"k": 1}, None, None),
+    ]
+    spark.createDataFrame(versions, "a int, b int, write_ts int, c int, s int, m_put map<string,int>, m_removed array<string>, m_replaced boolean").write.parquet(str(tmp_path / "v"))
+    deletions = [(2, None, None, None, None, 10), (3, 1, 1, True, True, 10), (1, 1, 1, True, True, 9)]
+    spark.createDataFrame(deletions, "a int, lo_b int, hi_b int, lo_inclusive boolean, hi_inclusive boolean, deleted_at int").write.parquet(str(tmp_path / "d"))
+    options = {"keyspace": "k", "createStmt": "create table k.t (a int, b int, c int, m map<text, int>, s int static, primary key (a, b))", "dirs": str(tmp_path / "v"), "deletionDirs": str(tmp_path / "d")}
+    got = {(r.a, r.b): (r.c, r.m) for r in table.read_table(spark, options).collect()}
+    assert got == {(1, 1): (6, {"x": 3}), (1, 2): (None, {"z": 9})}
+
+
 def test_key_filters_need_every_key():
     spec = table.parse_table("create table t (a int, b int, c int, primary key ((a, b)))")
     assert table.key_filters(spec, {"a": [1, 2]}) == []
