@@ -68,14 +68,20 @@ def parse_type(text: str, udts: dict[str, T.StructType] | None = None, decimals:
     return NATIVE[name.lower()]
 
 
-def parse_udts(statements: list[str], keyspace_names: bool = True) -> dict[str, T.StructType]:
-    """CREATE TYPE statements in any order; a type waits until those that it uses are known."""
-    waiting = []
+def udt_texts(statements: list[str]) -> dict[str, list[tuple[str, str]]]:
+    """Fields (name, type text) of each CREATE TYPE statement."""
+    out = {}
     for s in statements:
         m = re.match(r"\s*CREATE\s+TYPE\s+(?:IF\s+NOT\s+EXISTS\s+)?([\w.\"]+)\s*\((.*)\)\s*;?\s*$", s, re.I | re.S)
         if not m:
             raise ValueError(f"not a type statement: {s}")
-        waiting.append((m[1].rpartition(".")[2].strip('"'), [_name_and_rest(f) for f in split_arguments(m[2])]))
+        out[m[1].rpartition(".")[2].strip('"')] = [_name_and_rest(f) for f in split_arguments(m[2])]
+    return out
+
+
+def parse_udts(statements: list[str]) -> dict[str, T.StructType]:
+    """CREATE TYPE statements in any order; a type waits until those that it uses are known."""
+    waiting = list(udt_texts(statements).items())
     out: dict[str, T.StructType] = {}
     while waiting:
         left = []

@@ -142,3 +142,15 @@ def in_range(token: Column, start, end, start_inclusive: bool = False, end_inclu
     lo = token >= F.lit(start) if start_inclusive else token > F.lit(start)
     hi = token <= F.lit(end) if end_inclusive else token < F.lit(end)
     return lo & hi
+
+
+def bucket_of(token: Column, cuts: list[int]) -> Column:
+    """How many of the ascending `cuts` lie below the token, as a search tree of conditions: log2(cuts) comparisons a row, no join."""
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(token <= F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(cuts))

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorate.functions import tokens
+from quorate.functions import codec, tokens
 from quorate.operators import cdc, reconcile, ring
 from quorate.operators.reconcile import Cell
-from quorate.sources import table
+from quorate.sources import replicated, table
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -271,6 +271,20 @@ def src_table_batch(spark, d):
     return _current(spark, d).groupBy(CK).agg(F.sum(_money(F.col("value"))).cast("decimal(28,2)").alias("total"), F.count(F.lit(1)).alias("n"))
 
 
+_OPTIONS = {"keyspace": "k", "createStmt": "create table k.events (user_id bigint, event_type text, value double, props text, primary key (user_id, event_type))", "writeTimeColumn": "ts"}
+
+
+@query("select user_id, event_type, arg_max(props, ts) as props, arg_max(value, ts) as value from events group by all")
+def src_local(spark, d):
+    return table.read_table(spark, _OPTIONS | {"dirs": f"{d}/events.parquet"})
+
+
+@query("select user_id, event_type, arg_max(value, ts) as value, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as modified from events group by all")
+def feat_last_modified(spark, d):
+    rows = table.read_table(spark, _OPTIONS | {"dirs": f"{d}/events.parquet", "last_modified_timestamp": "true"}, columns=["value"])
+    return rows.select(PK, CK, "value", F.date_format("last_modified_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("modified"))
+
+
 @query(f"select * from ({_CURRENT_SQL}) where user_id = 7")
 def filt_pk_eq(spark, d):
     return _current(spark, d).where(F.col(PK) == 7)
@@ -319,6 +333,18 @@ def key_encode(spark, d):
     return _events(spark, d).select(PK, F.lower(F.hex(key)).alias("key_hex")).distinct()
 
 
+@query("select distinct user_id, lpad(hex(user_id), 16, '0') as as_bigint, right(lpad(hex(user_id), 16, '0'), 8) as as_int, hex(encode(event_type)) as as_text from events")
+def type_encode(spark, d):
+    as_hex = lambda c, kind: F.hex(codec.encode_native(F.col(c), kind))
+    return _events(spark, d).select(PK, as_hex(PK, "bigint").alias("as_bigint"), as_hex(PK, "int").alias("as_int"), as_hex(CK, "text").alias("as_text")).distinct()
+
+
+@query("select event_id, user_id - 75 as n, event_type, value from events")
+def type_decode(spark, d):
+    shown = _events(spark, d).select("event_id", codec.encode_native(F.col(PK) - 75, "bigint").alias("n"), codec.encode_native(F.col(CK), "text").alias("t"), codec.encoder("double")(F.col("value")).alias("v"))
+    return shown.select("event_id", codec.decode_native(F.col("n"), "bigint").alias("n"), codec.decode_native(F.col("t"), "text").alias("event_type"), codec.decoder("double")(F.col("v")).alias("value"))
+
+
 @query(None)
 def token_murmur3(spark, d):
     return _events(spark, d).select(PK).distinct().withColumn("token", tokens.murmur3_bigint(PK))
@@ -385,9 +411,7 @@ def range_split(spark, d):
 
 @query("select user_id, cast(floor(user_id * 37 % 1000 / 250) as bigint) as part, count(*) as n from events group by all")
 def token_to_partition(spark, d):
-    cuts = [250, 500, 750]
-    token = F.col(PK) * 37 % 1000
-    part = sum((F.when(token >= c, 1).otherwise(0) for c in cuts[1:]), F.when(token >= cuts[0], 1).otherwise(0))
+    part = tokens.bucket_of(F.col(PK) * 37 % 1000, [249, 499, 749])
     return _events(spark, d).groupBy(PK, part.cast("long").alias("part")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -418,9 +442,23 @@ def rf_parse(spark, d):
     return spark.createDataFrame([(r.strategy, r.total, ",".join(sorted(r.factors)))], "strategy string, total bigint, centres string")
 
 
-@query("select distinct l_suppkey % 3 as replica from lineitem where l_suppkey % 3 < 2")
+@query("select * from (values ('n1'),('n3'),('n5')) t(node)")
 def replica_candidates(spark, d):
-    return _lines(spark, d).select((F.col("l_suppkey") % 3).alias("replica")).where("replica < 2").distinct()
+    return spark.createDataFrame([(i.node,) for i in ring.replica_candidates(_ring(), "LOCAL_QUORUM", "DC2")], "node string")
+
+
+def _three_copies() -> list[replicated.Part]:
+    return replicated.read_plan(_ring(), ring.parse_replication({"class": "SimpleStrategy", "replication_factor": "3"}), "QUORUM")
+
+
+@query(
+    """with e as (select event_id, case when user_id * 37 % 1000 > 500 then 0 else cast(ceil(user_id * 37 % 1000 / 100.0) as bigint) end as k from events),
+    o as (select event_id, list_sort([k % 6, (k + 1) % 6, (k + 2) % 6])[1:2] as two from e)
+    select node, count(*) as n from (select event_id, 'n' || unnest(two) as node from o) group by all"""
+)
+def src_partitioned(spark, d):
+    held = _events(spark, d).select("event_id", (F.col(PK) * 37 % 1000).alias("token"), F.explode(F.array(*(F.lit(f"n{i}") for i in range(6)))).alias("node"))
+    return replicated.read_replicas(held, _three_copies()).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select * from (values ('n0',true),('n2',true),('n1',false)) t(node, is_primary)")

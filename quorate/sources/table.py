@@ -32,7 +32,7 @@ def spec_from_options(options: Mapping[str, str]) -> TableSpec:
     return parse_table(o["createstmt"], [u for u in o.get("udts", "").split("\n") if u.strip()], features)
 
 
-def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | None = None) -> DataFrame:
+def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Current rows of a declared table whose versions lie as Parquet in `dirs` (comma-separated).
 
     A version has the key columns, write_ts and any of the other columns; `unset` (array of names) tells columns
@@ -42,23 +42,28 @@ def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | No
 
     Option `deletionDirs`: deletions of partitions, rows and clustering intervals (see `without_deletions`). They hide
     rows; a static value goes only with its whole partition. Unfrozen collections are merged by element where the
-    files give a column's elements: see `merged_collection`.
+    files give a column's elements: see `merged_collection`. Option `writeTimeColumn` names the write time.
+
+    `columns` reads only some value and static columns: a row is then visible if one of these is live, and always if
+    none of them is a value column.
     """
     spec = spec_from_options(options)
     o = {k.lower(): v for k, v in options.items()}
     read = lambda key: spark.read.option("mergeSchema", "true").parquet(*(d for d in o[key].split(",") if d))
-    versions = read("dirs")
+    versions = read("dirs").withColumnRenamed(o.get("writetimecolumn", WRITE_TIME), WRITE_TIME)
+    wanted = lambda names: [n for n in names if columns is None or n in columns]
+    values, statics = wanted(spec.values), wanted(spec.statics)
     have = set(versions.columns)
     keys = spec.partition_keys + spec.clustering_keys
     for_statics = versions
     if o.get("deletiondirs"):
         deletions = read("deletiondirs")
         for_rows = without_deletions(versions, deletions, spec.partition_keys, spec.clustering_keys, WRITE_TIME)
-        for_statics = without_deletions(versions, deletions.where(whole_partition(deletions, spec)), spec.partition_keys, [], WRITE_TIME) if spec.statics else versions
+        for_statics = without_deletions(versions, deletions.where(whole_partition(deletions, spec)), spec.partition_keys, [], WRITE_TIME) if statics else versions
         versions = for_rows
     untouched = F.coalesce(F.col("unset"), F.array()) if "unset" in have else None
-    by_element = [f for f in spec.fields if f.name in spec.values and f"{f.name}_put" in have]
-    merged_whole = [n for n in spec.values if n not in {f.name for f in by_element}]
+    by_element = [f for f in spec.fields if f.name in values and f"{f.name}_put" in have]
+    merged_whole = [n for n in values if n not in {f.name for f in by_element}]
 
     def cells(names: Sequence[str]) -> list[Cell]:
         kinds = {f.name: f.type for f in spec.fields}
@@ -72,12 +77,12 @@ def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | No
     rows = merge_cells(versions, keys, WRITE_TIME, cells(merged_whole), now, keep_times=bool(spec.features))
     for f in by_element:
         rows = rows.join(merged_collection(versions, keys, f, now), keys, "left")
-    rows = visible_rows(rows, spec.values, keys_only=not spec.values)
-    if spec.features and spec.values:
-        rows = last_modified(rows, spec.values)
-    if spec.statics:
-        rows = rows.join(merge_cells(for_statics, spec.partition_keys, WRITE_TIME, cells(spec.statics), now), spec.partition_keys, "left")
-    return rows.select(*(f.name for f in spec.fields), *(x for x in spec.features if x in rows.columns))
+    rows = visible_rows(rows, values, keys_only=not values)
+    if spec.features and values:
+        rows = last_modified(rows, values)
+    if statics:
+        rows = rows.join(merge_cells(for_statics, spec.partition_keys, WRITE_TIME, cells(statics), now), spec.partition_keys, "left")
+    return rows.select(*(f.name for f in spec.fields if f.name in rows.columns), *(x for x in spec.features if x in rows.columns))
 
 
 def whole_partition(deletions: DataFrame, spec: TableSpec) -> Column:

@@ -1,64 +1,115 @@
-"""A micro-batch source of mutation logs: offsets are markers of each instance, as a dict."""
+"""A micro-batch source of mutation logs.
+
+An offset is a dict of `timestampMicros` and `instanceLogs`: instance -> segment -> bytes read. Only bytes that came
+since the last offset are read, and a log's end is found from its last block, so a batch costs what is new.
+"""
 
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 LOG_SCHEMA = "instance string, segment bigint, position bigint, digest string, replica string, ts bigint, body string"
+#: Bytes that one task reads of a log; more are several tasks.
+PART_BYTES = 64 << 20
+BLOCK_BYTES = 64 << 10
+
+
+def end_of_lines(log: Path) -> int:
+    """Bytes up to the last line end: what a writer has finished."""
+    with log.open("rb") as f:
+        at = f.seek(0, 2)
+        while at:
+            start = max(0, at - BLOCK_BYTES)
+            f.seek(start)
+            found = f.read(at - start).rfind(b"\n")
+            if found >= 0:
+                return start + found + 1
+            at = start
+    return 0
+
+
+def ordered(a: dict, b: dict) -> bool:
+    """Whether offset `a` isn't later than `b`."""
+    return a["timestampMicros"] <= b["timestampMicros"]
 
 
 class LogPart(InputPartition):
-    def __init__(self, path: str, instance: str, segment: int, first: int, last: int):
-        self.path, self.instance, self.segment, self.first, self.last = path, instance, segment, first, last
+    """Lines that begin in [first, last) of a log; those written before `oldest` (microseconds) are too late."""
+
+    def __init__(self, path: str, instance: str, segment: int, first: int, last: int, whole_line: bool, oldest: int):
+        self.path, self.instance, self.segment, self.first, self.last, self.whole_line, self.oldest = path, instance, segment, first, last, whole_line, oldest
 
 
 class MutationLogReader(DataSourceStreamReader):
-    """Logs are JSON lines in <path>/<instance>/<segment>.log; a line's number is its position.
+    """Logs are JSON lines in <path>/<instance>/<segment>.log; a line's first byte is its position.
 
-    A log that is gone counts as empty; a line that can't be read ends its log for now.
+    A log that is gone counts as empty; a line that can't be read is left out. Options: `windowSeconds` (600: an update
+    older than a batch's start by more is left out), `minMutationAgeSeconds` (0: a batch's time is so much before now),
+    `startingOffsets` (earliest, or window: at the first batch only what is in the window before now counts).
     """
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, options: dict):
+        o = {k.lower(): v for k, v in options.items()}
+        self.path = o["path"]
+        self.window = int(float(o.get("windowseconds", 600)) * 1e6)
+        self.age = int(float(o.get("minmutationageseconds", 0)) * 1e6)
+        self.start = o.get("startingoffsets", "earliest")
+        if self.start not in ("earliest", "window"):
+            raise ValueError(f"startingOffsets is earliest or window, not {self.start}")
+        self.last: dict | None = None
 
-    def _ends(self) -> dict:
-        out: dict[str, dict[str, int]] = {}
-        for log in sorted(Path(self.path).glob("*/*.log")):
-            with log.open("rb") as lines:
-                out.setdefault(log.parent.name, {})[log.stem] = sum(line.endswith(b"\n") for line in lines)
-        return out
+    def _now(self) -> int:
+        return time.time_ns() // 1000 - self.age
 
     def initialOffset(self) -> dict:
-        return {}
+        return {"timestampMicros": 0 if self.start == "earliest" else self._now(), "instanceLogs": {}}
 
     def latestOffset(self) -> dict:
-        return self._ends()
+        ends: dict[str, dict[str, int]] = {}
+        for log in sorted(Path(self.path).glob("*/*.log")):
+            try:
+                ends.setdefault(log.parent.name, {})[log.stem] = end_of_lines(log)
+            except FileNotFoundError:
+                continue
+        if self.last is None or self.last["instanceLogs"] != ends:  # else the same offset: no empty batches
+            self.last = {"timestampMicros": self._now(), "instanceLogs": ends}
+        return self.last
 
     def partitions(self, start: dict, end: dict) -> list[LogPart]:
         out = []
-        for instance, logs in end.items():
+        oldest = start["timestampMicros"] - self.window
+        for instance, logs in end["instanceLogs"].items():
             for segment, last in logs.items():
-                first = start.get(instance, {}).get(segment, 0)
-                if last > first:
-                    out.append(LogPart(f"{self.path}/{instance}/{segment}.log", instance, int(segment), first, last))
+                first = start["instanceLogs"].get(instance, {}).get(segment, 0)
+                for at in range(first, last, PART_BYTES):
+                    out.append(LogPart(f"{self.path}/{instance}/{segment}.log", instance, int(segment), at, min(at + PART_BYTES, last), at == first, oldest))
         return out
 
     def read(self, partition: LogPart) -> Iterator[tuple]:
         try:
-            with open(partition.path, encoding="utf-8") as lines:
-                for i, line in enumerate(lines):
-                    if partition.first <= i < partition.last:
-                        try:
-                            m = json.loads(line)
-                        except ValueError:
-                            return
-                        yield partition.instance, partition.segment, i, m["digest"], m.get("replica", partition.instance), int(m["ts"]), json.dumps(m.get("body"))
+            lines = open(partition.path, "rb")
         except FileNotFoundError:
             return
+        with lines:
+            at = partition.first
+            if not partition.whole_line:  # the line that reaches into this part is the part's before it
+                lines.seek(at - 1)
+                at += len(lines.readline()) - 1
+            lines.seek(at)
+            while at < partition.last and (line := lines.readline()):
+                try:
+                    m = json.loads(line)
+                    row = partition.instance, partition.segment, at, m["digest"], m.get("replica", partition.instance), int(m["ts"]), json.dumps(m.get("body"))
+                except (ValueError, KeyError, TypeError, AttributeError):
+                    row = None
+                if row and row[5] >= partition.oldest:
+                    yield row
+                at += len(line)
 
     def commit(self, end: dict) -> None:
         pass
@@ -75,4 +126,4 @@ class MutationLogSource(DataSource):
         return LOG_SCHEMA
 
     def streamReader(self, schema) -> MutationLogReader:
-        return MutationLogReader(self.options["path"])
+        return MutationLogReader(dict(self.options))

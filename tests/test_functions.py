@@ -75,3 +75,26 @@ def test_ring():
     assert sum(r.end - r.start for r in ring.split_range(ring.Range(0, 100), 3)) == 100
     with pytest.raises(ring.NotEnoughReplicas):
         ring.choose_replicas([(nodes[0], "UP")], 2)
+
+
+def test_bucket_of(spark):
+    cuts = [-5, 0, 7, 8]
+    rows = spark.range(-10, 15).select("id", tokens.bucket_of(F.col("id"), cuts).alias("n")).collect()
+    assert all(r["n"] == sum(c < r["id"] for c in cuts) for r in rows)
+
+
+def test_read_plan(spark):
+    from quorate.sources import replicated
+
+    nodes = [ring.Instance(100 * i, f"n{i}", ("dc1", "dc2")[i % 2]) for i in range(6)]
+    nts = ring.parse_replication({"class": "NetworkTopologyStrategy", "dc1": "3", "dc2": "3"})
+    parts = replicated.read_plan(nodes, nts, "LOCAL_QUORUM", "dc1", {"n0": "DOWN"})
+    assert all({i.node for i in p.primary} == {"n2", "n4"} and [i.node for i in p.backup] == ["n0"] for p in parts)
+    after = replicated.without_failed(parts, {"n2"})
+    assert all([i.node for i in p.primary] == ["n4", "n0"] for p in after)
+    with pytest.raises(ring.NotEnoughReplicas):
+        replicated.without_failed(after, {"n2", "n4"})
+    assert ring.uncovered([ring.Range(ring.MURMUR3[0], 5), ring.Range(9, ring.MURMUR3[1])]) == [ring.Range(5, 9)]
+    held = spark.createDataFrame([(t, f"n{i}", rep) for t in (-3, 50, 900) for i in range(6) for rep in (True, False)], "token long, node string, repaired boolean")
+    got = {(r.token, r.node, r.repaired) for r in replicated.read_replicas(held, parts, repaired="repaired").collect()}
+    assert got == {(t, n, rep) for t in (-3, 50, 900) for n, rep in (("n2", True), ("n2", False), ("n4", False))}
