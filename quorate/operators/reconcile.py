@@ -16,14 +16,16 @@ from pyspark.sql import types as T
 
 
 def tie_key(value: Column, kind: T.DataType) -> Column:
-    """What decides between equal write times: the order of the serialised bytes, not of the values.
+    """What decides between equal write times before the value does: with it, the order of the serialised bytes.
 
     Big-endian two's complement puts negative numbers above the others; floats likewise by their bits. Maps have no
-    order in Spark: their text decides.
+    order in Spark: their text decides. Other values decide themselves.
     """
-    if isinstance(kind, (T.IntegralType, T.FractionalType)) and not isinstance(kind, T.DecimalType):
-        return F.struct((value < 0).alias("negative"), (F.abs(value) if isinstance(kind, T.FractionalType) else value).alias("value"))
-    return value if orderable(kind) else F.to_json(value)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.struct((value < 0).alias("negative"), F.abs(value).alias("size"))
+    if isinstance(kind, T.IntegralType):
+        return value < 0
+    return F.lit(False) if orderable(kind) else F.to_json(value)
 
 
 def orderable(kind: T.DataType) -> bool:
@@ -59,10 +61,13 @@ def merge_cells(versions: DataFrame, keys: Sequence[str], ts: str, cells: Sequen
     for c, kind in zip(cells, kinds):
         dead = F.coalesce(c.is_dead, F.lit(False)) if c.is_dead is not None else F.lit(False)
         ends = c.expires_at if c.expires_at is not None else F.lit(None).cast("timestamp_ntz")
-        rank = F.struct(F.col(ts).alias("ts"), dead.alias("dead"), tie_key(c.value, kind).alias("tie"), F.coalesce(ends, F.lit("9999-12-31").cast("timestamp_ntz")).alias("until"))
-        rank = F.when(c.is_set, rank) if c.is_set is not None else rank
-        won = F.struct(F.col(ts).alias("ts"), dead.alias("dead"), c.value.alias("value"), ends.alias("ends"))
-        aggregates.append(F.max_by(won, rank).alias(f"_{c.name}"))
+        won = F.struct(F.col(ts).alias("ts"), dead.alias("dead"), tie_key(c.value, kind).alias("tie"), c.value.alias("value"), ends.alias("ends"))
+        won = F.when(c.is_set, won) if c.is_set is not None else won
+        if orderable(kind):
+            best = F.max(won)
+        else:
+            best = F.max_by(won, F.when(won.isNotNull(), F.struct(won["ts"], won["dead"], won["tie"], won["ends"])))
+        aggregates.append(best.alias(f"_{c.name}"))
     out = versions.groupBy(*keys).agg(*aggregates) if aggregates else versions.select(*keys).distinct()
     columns = []
     for c in cells:
