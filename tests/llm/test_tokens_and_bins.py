@@ -116,6 +116,23 @@ def test_levels_of_cells(spark):
     assert got.count() == 3_000 and len(sums) == 24 and max(sums) - min(sums) <= 97
 
 
+def test_a_large_group_over_many_cells(spark):
+    r = random.Random(3)
+    sizes = [int(r.lognormvariate(8, 1)) for _ in range(40_000)]
+    for shares in ([0.03], [0.03, 0.02, 0.02, 0.001], [0.3]):
+        held = sizes + [int(sum(sizes) * x / (1 - sum(shares))) for x in shares]
+        groups = spark.createDataFrame([(i.to_bytes(4, "big"), s) for i, s in enumerate(held)], "group binary, bytes bigint")
+        got = [(bytes(x["group"]), x["shard"]) for x in sharding.assign_groups(groups).collect()]
+        assert len(got) == len(held) == len(dict(got))
+        sums = Counter()
+        for g, shard in got:
+            sums[shard] += held[int.from_bytes(g, "big")]
+        least = max(sum(held) / 24, max(held))  # no shard can be smaller than the largest group
+        assert len(sums) == 24 and max(sums.values()) <= 1.001 * least
+        others = sorted(sums.values())[:-1]
+        assert max(others) <= 1.001 * min(others)
+
+
 def test_media(spark, awkward, empty, tmp_path):
     folder = f"file://{tmp_path}/media"
     index = media.write_shards(awkward.coalesce(1), folder).cache()
