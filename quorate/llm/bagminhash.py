@@ -8,7 +8,8 @@ component keeps the earliest point of all shingles. So two signatures agree in a
 probability of the weighted Jaccard similarity. Points are made only up to the time by which all components are
 expected to be met; a text that missed one is done again up to a later time.
 
-Texts of equal multisets form one class first; only its least id goes on. Classes that agree in a band share a
+Texts of equal multisets form one class first, whose name is their fingerprint; ids play no part, so rows without
+id or with an id that other texts have as well are compared like any other. Classes that agree in a band share a
 bucket. No bucket is collected or expanded into all its pairs:
 1. each member is compared with the bucket's pivot, the member that meets most others in all its buckets: linear in
    the members;
@@ -19,7 +20,8 @@ Verification is exact on the multisets (32-bit shingle hashes). Components of al
 
 Defined results: null texts count as empty; all texts without a word form one class; repeated rows share a class;
 extra columns are ignored; an empty table gives no rows. The least doc_id of a class is its class_id; a row
-without id gets the class_id of its texts' class but can't name one (null if alone).
+without id gets the class_id of its texts' class but can't name one (null if no row of the class has an id). If texts
+of several classes have the same id, these classes may have the same class_id; deduplicated() keeps a row of each.
 """
 
 from __future__ import annotations
@@ -174,12 +176,12 @@ def _groups(texts: list) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 def signed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(doc, n_shingles, fp1, fp2, bands, signature) of each row."""
+    """(doc, mark, print, n_shingles, bands, signature) of each row; mark: hash of the text, print: fingerprint of the multiset."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, texts = batch[key].array, list(batch[text])
+            ids, marks, texts = batch[key].array, batch["_mark"].array, list(batch[text])
             for first, words in _groups(texts):
                 n = len(words)
                 owner, h, weight = multisets(*shingles(words))
@@ -191,24 +193,25 @@ def signed(docs: DataFrame, text: str, key: str) -> DataFrame:
                         np.add.at(sums, owner, mix(mix(h + salt) + heavy))
                         prints.append(sums.view(np.int64))
                 signature = signatures(owner, h, weight, n)
+                sizes = np.bincount(owner, weight, n).astype(np.int64)
+                print_ = np.stack([sizes, *prints], 1)
                 yield pd.DataFrame({
-                    "doc": ids[first : first + n], "n_shingles": np.bincount(owner, weight, n).astype(np.int64), "fp1": prints[0], "fp2": prints[1],
+                    "doc": ids[first : first + n], "mark": marks[first : first + n], "print": [x.tobytes() for x in print_], "n_shingles": sizes,
                     "bands": list(bands_of(signature)), "signature": [x.tobytes() for x in signature],
                 })
 
-    return docs.select(key, text).mapInPandas(run, f"doc {kind}, n_shingles bigint, fp1 bigint, fp2 bigint, bands array<bigint>, signature binary")
+    return docs.select(key, text, F.xxhash64(text).alias("_mark")).mapInPandas(run, f"doc {kind}, mark bigint, print binary, n_shingles bigint, bands array<bigint>, signature binary")
 
 
-def bags(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(doc, bag): the sorted 32-bit shingle hashes of each row, as often as they occur."""
-    kind = docs.schema[key].dataType.simpleString()
+def bags(texts: DataFrame) -> DataFrame:
+    """(rep, bag) of a table (rep, text): the sorted 32-bit shingle hashes of each row, as often as they occur."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [np.sort((shingles([word_hashes(t)])[1] >> U(32)).astype(np.uint32)).tobytes() for t in batch[text]]
-            yield pd.DataFrame({"doc": batch[key].array, "bag": out})
+            out = [np.sort((shingles([word_hashes(t)])[1] >> U(32)).astype(np.uint32)).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"rep": batch["rep"].array, "bag": out})
 
-    return docs.select(key, text).mapInPandas(run, f"doc {kind}, bag binary")
+    return texts.mapInPandas(run, "rep binary, bag binary")
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -226,26 +229,31 @@ def jaccard(a: bytes, b: bytes) -> float:
     return both / (len(p) + len(q) - both)
 
 
-def bags_of(ids: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(doc, bag) of the documents in the table (_id)."""
-    ids = durable(ids.distinct(), "wanted")
-    few = ids.count() <= BROADCAST_IDS
-    wanted = docs.select(key, text).join(F.broadcast(ids) if few else ids, F.col(key) == F.col("_id"), "left_semi")
-    return durable(bags(wanted, text, key).dropDuplicates(["doc"]), "bags")
+def texts_at(docs: DataFrame, text: str, key: str, places: DataFrame) -> DataFrame:
+    """`docs` with the columns of `places`, a table (..., _doc, _mark) of rows named by their id and their text's hash."""
+    few = places.count() <= BROADCAST_IDS
+    at = F.col(key).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_mark"))
+    return docs.join(F.broadcast(places) if few else places, at)
+
 
+def bags_of(ids: DataFrame, places: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(rep, bag) of the classes in the table (rep), with (rep, _doc, _mark) of all classes."""
+    wanted = durable(places.join(ids.distinct(), "rep"), "wanted")
+    texts = texts_at(docs.select(key, text), text, key, wanted).select("rep", F.col(text).alias("text"))
+    return durable(bags(texts).dropDuplicates(["rep"]), "bags")
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, similarity: float) -> DataFrame:
+
+def verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, text: str, key: str, similarity: float) -> DataFrame:
     """The pairs (a, b) whose similarity is at least `similarity`, with it."""
-    held = bags_of(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")), docs, text, key)
-    both = pairs.join(held.select(F.col("doc").alias("b"), F.col("bag").alias("bag_b")), "b").join(held.select(F.col("doc").alias("a"), F.col("bag").alias("bag_a")), "a")
+    held = bags_of(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), places, docs, text, key)
+    both = pairs.join(held.select(F.col("rep").alias("b"), F.col("bag").alias("bag_b")), "b").join(held.select(F.col("rep").alias("a"), F.col("bag").alias("bag_a")), "a")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = batch[["a", "b"]].assign(similarity=[jaccard(x, y) for x, y in zip(batch["bag_a"], batch["bag_b"])])
             yield out[out["similarity"] >= similarity]
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    return durable(both.select("a", "b", "bag_a", "bag_b").mapInPandas(run, f"a {kind}, b {kind}, similarity double"), "links")
+    return durable(both.select("a", "b", "bag_a", "bag_b").mapInPandas(run, "a binary, b binary, similarity double"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -310,14 +318,16 @@ def links_in_blocks(rows: Iterator[pd.DataFrame], estimate: float, similarity: f
         yield links(rest)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(membership, links): (key, class_id) of each row, and (a, b, similarity) verified between class representatives."""
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, links): each row's (doc, print); (print, _copies, component, at) of each distinct multiset, where `at`
+    is the least row of its component as (_unnamed, _doc, _mark), rows without id last; and (a, b, similarity) of prints."""
     rows = durable(signed(docs, text, key), "signed")
-    prints = ["n_shingles", "fp1", "fp2"]
-    total = rows.count()
-    same = durable(rows.groupBy(*prints).agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("_copies")), "same")
-    reps = rows.join(same.select(F.col("rep").alias("doc")), "doc", "left_semi").where(F.col("n_shingles") > 0).dropDuplicates(["doc"])
-    reps = durable(reps.select(F.col("doc").alias("rep"), "bands", "signature"), "reps")
+    here = F.struct(F.col("doc").isNull().alias("_unnamed"), F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))
+    same = durable(rows.groupBy("print").agg(F.min(here).alias("at"), F.count(F.lit(1)).alias("_copies")), "same")
+    places = same.select(F.col("print").alias("rep"), "at._doc", "at._mark")
+    first = (F.col("print") == F.col("rep")) & F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))
+    reps = rows.where(F.col("n_shingles") > 0).join(places, first, "left_semi").dropDuplicates(["print"])
+    reps = durable(reps.select(F.col("print").alias("rep"), "bands", "signature"), "reps")
     banded = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = durable(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = durable(banded.join(shared, "bucket"), "members")
@@ -332,7 +342,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         star = placed.join(pivots, "bucket").where("component != pivot_component")
         star = star.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
         star = durable(star if tried is None else star.join(tried, ["a", "b"], "left_anti"), "star")
-        new = verified(star, docs, text, key, similarity)
+        new = verified(star, places, docs, text, key, similarity)
         tried = star if tried is None else tried.union(star)
         links = new if links is None else links.union(new)
         parts = components(links)
@@ -345,28 +355,32 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     open_ = open_.select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component")
     open_ = durable(open_, "open")
-    held = bags_of(open_.select(F.col("rep").alias("_id")), docs, text, key)
-    open_ = open_.join(reps.select("rep", "signature").join(held.select(F.col("doc").alias("rep"), "bag"), "rep"), "rep")
+    held = bags_of(open_.select("rep"), places, docs, text, key)
+    open_ = open_.join(reps.select("rep", "signature").join(held, "rep"), "rep")
     open_ = open_.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
-    kind = docs.schema[key].dataType.simpleString()
-    more = open_.mapInPandas(lambda it: links_in_blocks(it, ESTIMATE, similarity), f"a {kind}, b {kind}, similarity double")
+    more = open_.mapInPandas(lambda it: links_in_blocks(it, ESTIMATE, similarity), "a binary, b binary, similarity double")
     more = durable(more, "more")
     if not more.isEmpty():
         links = durable(links.union(more).dropDuplicates(["a", "b"]), "links")
         parts = components(links)
-    classes = durable(same.join(parts, F.col("rep") == F.col("node"), "left").select(*prints, "_copies", F.coalesce("component", "rep").alias("class_id")), "classes")
-    packed = F.concat_ws("/", *prints).alias("_print")
-    out = join_on_hot_key(rows.select(F.col("doc").alias(key), packed), classes.select(packed, "_copies", "class_id"), "_print", "_copies", total)
-    return out.select(key, "class_id"), links
+    whole = same.join(parts, F.col("print") == F.col("node"), "left").select("print", "_copies", "at", F.coalesce("component", "print").alias("component"))
+    whole = durable(whole, "classes")
+    least = durable(whole.groupBy("component").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("_n")), "least")
+    classes = join_on_hot_key(whole.drop("at"), least, "component", "_n", whole.count()).drop("_n")
+    return rows.select("doc", "print"), durable(classes, "classes"), links
 
 
 def classes_of(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, class_id) of each row."""
-    return near_duplicates(docs, text, key)[0]
+    rows, classes, _ = near_duplicates(docs, text, key)
+    named = classes.select("print", "_copies", F.col("at._doc").alias("class_id"))
+    return join_on_hot_key(rows, named, "print", "_copies", rows.count()).select(F.col("doc").alias(key), "class_id")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """`docs` with one row of each class: that of the least key. Rows without a key stay as they are."""
-    keep = classes_of(docs, text, key).where(F.col(key) == F.col("class_id")).select(F.col(key).alias("_keep")).distinct()
-    named = docs.where(F.col(key).isNotNull()).dropDuplicates([key])
-    return named.join(keep, F.col(key) == F.col("_keep"), "left_semi").unionByName(docs.where(F.col(key).isNull()))
+    """`docs` with one row of each class: that of the least key, then of the least hash of the text, then of all columns."""
+    classes = near_duplicates(docs, text, key)[1]
+    places = durable(classes.select(F.col("component").alias("_component"), "at._doc", "at._mark").distinct(), "kept")
+    plain = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    found = texts_at(docs, text, key, places)
+    return found.groupBy("_component").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("_row")).select("_row.*")

@@ -185,3 +185,15 @@ def test_near_duplicates_by_brute_force(spark, awkward, empty):
     assert few.count() == awkward.count() and bagminhash.classes_of(empty).count() == 0
     kept = bagminhash.deduplicated(awkward)
     assert kept.columns == awkward.columns and sorted(x.doc_id or 0 for x in kept.collect()) == [0, 1, 4, 5, 7]
+
+
+def test_texts_that_share_an_id_or_have_none(spark):
+    base = [[f"{name}{i}" for i in range(60)] for name in "abcd"]
+    near = lambda ws: " ".join([*ws[:-1], "other"])
+    texts = [" ".join(w) for w in base]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (2, near(base[1])), (None, near(base[2])), (None, texts[3]), (None, near(base[3]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = sorted((r.doc_id or 0, r.text) for r in bagminhash.deduplicated(docs).collect())
+    assert kept[1:] == sorted((1, t) for t in texts[:3]) and kept[0][0] == 0 and kept[0][1] in (texts[3], near(base[3]))
+    got = Counter((r.doc_id, r.class_id) for r in bagminhash.classes_of(docs).collect())
+    assert got == Counter({(1, 1): 3, (2, 1): 1, (None, 1): 1, (None, None): 2})
