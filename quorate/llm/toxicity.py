@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A word's input is its own embedding (hashed) plus the mean of the embeddings of its character n-grams (hashed,
-with marks for the word's ends), so that unseen forms share what their parts have shown. Texts are cut into
+with marks for the word's ends), so that unseen forms share what their parts have shown. A run of more than PIECE
+letters is given as overlapping pieces, each a word of its own. Texts are cut into
 overlapping windows of WINDOW words, STEP apart, that cover the whole text. Both directions of the network run
 over a window, attention weighs its states, a linear layer gives its logit. A document's score is the calibrated
 largest logit of all its windows.
@@ -33,6 +34,8 @@ LABELLED_ROWS = 3_000
 WINDOW, STEP = 64, 32
 WORD_SLOTS, GRAM_SLOTS, WIDTH, HIDDEN, ATTENTION = 4096, 16384, 16, 8, 8
 GRAMS = (3, 4, 5, 6)
+#: Longer runs of letters count as several words: pieces of so many letters, so many apart, that cover the whole run.
+PIECE, PIECE_STEP = 64, 32
 BATCH, STEPS, WARM_STEPS, RESCORE = 96, 400, 120, 70
 RATE = 0.01
 #: Words whose input is remembered by a worker; a full memory is emptied.
@@ -44,7 +47,11 @@ WORD = re.compile(r"[^\W_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """The text's words; runs of more than PIECE letters, as in scripts without blanks, as overlapping pieces."""
+    words = WORD.findall((text or "").lower())
+    if all(len(w) <= PIECE for w in words):
+        return words
+    return [w[i : i + PIECE] for w in words for i in range(0, max(len(w) - PIECE, 0) + PIECE_STEP, PIECE_STEP)[: None if len(w) > PIECE else 1]]
 
 
 def window_starts(n: int) -> list[int]:
@@ -53,7 +60,7 @@ def window_starts(n: int) -> list[int]:
 
 
 def grams_of(word: str) -> list[int]:
-    marked = f"^{word[:64]}$".encode("utf-32-le", "surrogatepass")  # four bytes a character
+    marked = f"^{word}$".encode("utf-32-le", "surrogatepass")  # four bytes a character
     n = len(marked) // 4
     return [zlib.crc32(marked[4 * i : 4 * (i + k)]) % GRAM_SLOTS for k in GRAMS for i in range(n - k + 1)] or [zlib.crc32(marked) % GRAM_SLOTS]
 

@@ -58,6 +58,16 @@ def test_windows_cover_the_text():
         assert seen == set(range(n))
 
 
+def test_long_runs_of_letters_are_read_to_their_end():
+    for n in (1, 63, 64, 65, 96, 97, 1_000):
+        run = "".join(chr(0x4E00 + i) for i in range(n))
+        words = toxicity.words_of(f"a {run} b")
+        assert words[0] == "a" and words[-1] == "b" and all(len(w) <= toxicity.PIECE for w in words) and (n > 64 or words[1:-1] == [run])
+        seen = {g for w in words for g in toxicity.grams_of(w)}
+        assert all(any(run[i : i + 33] in w for w in words) for i in range(max(1, n - 32)))
+        assert {toxicity.zlib.crc32(run[i : i + 6].encode("utf-32-le")) % toxicity.GRAM_SLOTS for i in range(n - 5)} <= seen
+
+
 def test_gradients():
     docs = [["alpha", "beta", "gamma"], ["beta", "delta"]]
     vocabulary = toxicity.Vocabulary(docs)
