@@ -6,6 +6,11 @@ stop-word density. Blocks that stay ambiguous, mostly short ones, inherit in pas
 decided neighbour in the same region of the page; without one there, an article's blocks are text, and other
 blocks take the nearest decided block of the page.
 
+An element inside a boilerplate one is boilerplate as well, but if that leaves no article on the page, its only
+article or main element is one in spite of the names around it (not inside nav, aside and the like). Names of a
+layout (has-sidebar, no-comments) mark nothing. Where a page has hardly any stop word of the known languages,
+length and link density decide alone.
+
 Defined results: null and empty pages give an empty text. Unclosed tags and comments end with the page; a tag cut
 off at the end is dropped. Repeated rows are extracted each; an empty table gives no rows.
 """
@@ -50,20 +55,26 @@ STOP_WORDS = frozenset(
     "el los las del y que en un una por con para es no se al lo como más su sus pero fue este esta entre cuando muy sin sobre también me ya hay".split()
 )
 SHORT_WORDS, LONG_WORDS = 8, 20
+#: Letters that count as LONG_WORDS in scripts without blanks; used for pages in other languages than the known.
+LONG_CHARS = 120
 STOP_HIGH, STOP_LOW = 0.25, 0.1
+#: Least share of stop words in a page's text blocks for its language to be a known one.
+STOP_KNOWN = 0.07
 MOST_LINKS, MANY_LINKS = 0.5, 0.25
 
 _PIECE = re.compile(r"<!--|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_LAYOUT = re.compile(r"(?<![a-zA-Z])(?:has|with|without|no)[-_]\S*", re.I)
 _SPLIT = re.compile(r"[^a-zA-Z]+")
 _WORD = re.compile(r"\w+")
+_ARTICLE = re.compile(r"<(?:article|main)\b", re.I)
 
 
 @dataclass
 class Block:
     region: int
     article: bool
-    boilerplate: bool
+    boilerplate: int
     parts: list[str] = field(default_factory=list)
     link_chars: int = 0
     text: str = ""
@@ -71,16 +82,16 @@ class Block:
 
 
 def _names(attributes: str) -> set[str]:
-    return {w for m in _NAMES.findall(attributes) for w in _SPLIT.split("".join(m).lower()) if w} if attributes else set()
+    return {w for m in _NAMES.findall(attributes) for w in _SPLIT.split(_LAYOUT.sub("", "".join(m).lower())) if w} if attributes else set()
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The page's blocks with text, in order."""
+def blocks_of(page: str, reset: bool = False) -> tuple[list[Block], int]:
+    """The page's blocks with text, in order, and how many articles were taken as such in spite of names around them."""
     out: list[Block] = []
-    #: Open elements: (tag, region, in an article, boilerplate).
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
-    block = Block(0, False, False)
-    links = regions = 0
+    #: Open elements: (tag, region, in an article, boilerplate: 1 by name only, 2 by tag).
+    stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+    block = Block(0, False, 0)
+    links = regions = resets = 0
     at, n = 0, len(page)
 
     def end_block() -> None:
@@ -140,7 +151,8 @@ def blocks_of(page: str) -> list[Block]:
             _, region, article, bad = stack[-1]
             names = _names(attributes)
             opens = tag in ARTICLE_TAGS or names & ARTICLE_NAMES
-            marked = tag in BOILERPLATE_TAGS or tag == "header" and not article or names & BOILERPLATE_NAMES or "header" in names and not article
+            by_tag = tag in BOILERPLATE_TAGS or tag == "header" and not article
+            marked = by_tag or names & BOILERPLATE_NAMES or "header" in names and not article
             if tag in ("html", "body", *ARTICLE_TAGS):
                 marked = False
             if tag == "p" and stack[-1][0] == "p":  # a paragraph ends the one before it
@@ -149,14 +161,22 @@ def blocks_of(page: str) -> list[Block]:
             if opens or marked:
                 regions += 1
                 region = regions
-            stack.append((tag, region, article or bool(opens), bad or bool(marked)))
+            if reset and bad == 1 and tag in ARTICLE_TAGS and not names & BOILERPLATE_NAMES:
+                bad, resets = 0, resets + 1
+            stack.append((tag, region, article or bool(opens), max(bad, 2 if by_tag else 1 if marked else 0)))
         end_block()
     end_block()
-    return out
+    return out, resets
+
+
+def known_language(blocks: list[Block]) -> bool:
+    """Whether the blocks that may be text have stop words."""
+    words = [w for b in blocks if not b.boilerplate and b.link_chars < MANY_LINKS * len(b.text) for w in _WORD.findall(b.text.lower())]
+    return sum(w in STOP_WORDS for w in words) >= STOP_KNOWN * len(words)
 
 
-def decide(block: Block) -> bool | None:
-    """Pass 1: True for text, False for boilerplate, None if neither is clear."""
+def decide(block: Block, known: bool = True) -> bool | None:
+    """Pass 1: True for text, False for boilerplate, None if neither is clear; `known`: the page has stop words."""
     if block.boilerplate:
         return False
     words = _WORD.findall(block.text.lower())
@@ -165,6 +185,8 @@ def decide(block: Block) -> bool | None:
         return False
     if block.text.startswith("©") and len(words) < 3 * LONG_WORDS and not block.article:
         return False
+    if not known:
+        return True if density < MANY_LINKS and (len(words) >= LONG_WORDS or len(block.text) >= LONG_CHARS) else None
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if density < MANY_LINKS and len(words) >= SHORT_WORDS and stops >= STOP_HIGH:
         return True
@@ -199,9 +221,13 @@ def inherit(blocks: list[Block]) -> None:
 
 
 def main_text(page: str | None) -> str:
-    blocks = blocks_of(page or "")
+    blocks, _ = blocks_of(page or "")
+    if _ARTICLE.search(page or "") and not any(b.article and not b.boilerplate for b in blocks):
+        others, resets = blocks_of(page or "", reset=True)
+        blocks = others if resets == 1 else blocks
+    known = known_language(blocks)
     for b in blocks:
-        b.good = decide(b)
+        b.good = decide(b, known)
     inherit(blocks)
     if any(b.article and b.good for b in blocks):  # what stands outside the article isn't part of it
         blocks = [b for b in blocks if b.article]

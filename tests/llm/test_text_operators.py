@@ -144,6 +144,27 @@ def test_main_text(spark, empty):
     assert boilerplate.extract_pages(pages).count() == 4
 
 
+def test_articles_inside_marked_wrappers():
+    text = "It is the text of the page and it is in the body of it."
+    other = "Read it in the other of the articles that we have for you."
+    for wrapper in ('class="content has-sidebar"', 'id="page" class="no-comments"', 'class="widget"'):
+        assert boilerplate.main_text(f"<body><div {wrapper}><article><p>{text}</p></article></div></body>") == text, wrapper
+    cards = f'<div class="related"><article><p>{other}</p></article><article><p>{other}</p></article></div>'
+    assert boilerplate.main_text(f"<body><article><p>{text}</p></article>{cards}</body>") == text
+    assert boilerplate.main_text(f"<body><p>{text}</p>{cards}</body>") == text
+    assert boilerplate.main_text(f"<body><p>{text}</p><aside><article><p>{other}</p></article></aside></body>") == text
+
+
+def test_languages_without_known_stop_words():
+    for text in (
+        "Вчера вечером жители города собрались на центральной площади, чтобы отметить открытие новой библиотеки, которую строили почти три года при поддержке местных предприятий и школ.",
+        "Wczoraj wieczorem mieszkańcy miasta zebrali się przy głównym placu, żeby świętować otwarcie nowej biblioteki, którą budowano prawie trzy lata dzięki wsparciu lokalnych firm oraz szkół.",
+        "Χθες το βράδυ οι κάτοικοι της πόλης συγκεντρώθηκαν στην κεντρική πλατεία για να γιορτάσουν τα εγκαίνια της νέας βιβλιοθήκης που χτιζόταν σχεδόν τρία χρόνια με τη βοήθεια σχολείων.",
+    ):
+        page = f"<body><ul class=menu><li><a href=x>{text}</a></ul><div><a href=y>{text}</a></div><p>{text}</p></body>"
+        assert boilerplate.main_text(page) == text
+
+
 def test_signatures_are_unbiased():
     r = np.random.default_rng(1)
     base = r.integers(1, 2**63, 400, dtype=np.uint64)
