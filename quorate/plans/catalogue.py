@@ -364,6 +364,17 @@ def token_random(spark, d):
     return c.select("c_name", tokens.random_token_hex(key).alias("token"))
 
 
+@query(
+    """with h as (select c_name, md5(c_name) as d, translate(md5(c_name), '0123456789abcdef', 'fedcba9876543210') as x from customer),
+    n as (select c_name, d, cast('0x' || substr(x, 1, 16) as ubigint) as high, cast('0x' || substr(x, 17, 16) as ubigint) as low from h),
+    m as (select c_name, d, case when low = 18446744073709551615 then high + 1 else high end as high, case when low = 18446744073709551615 then 0 else low + 1 end as low from n)
+    select c_name, case when substr(d, 1, 1) < '8' then d else lpad(lower(hex(high)), 16, '0') || lpad(lower(hex(low)), 16, '0') end as token from m"""
+)
+def token_random_all(spark, d):
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    return c.select("c_name", tokens.random_token_hex(F.col("c_name").cast("binary")).alias("token"))
+
+
 @query("select distinct user_id from events where user_id * 37 % 1000 > 100 and user_id * 37 % 1000 <= 600")
 def filt_token_range(spark, d):
     return _events(spark, d).where(tokens.in_range(F.col(PK) * 37 % 1000, 100, 600)).select(PK).distinct()
@@ -529,6 +540,13 @@ def cdc_list_readback(spark, d):
     return e.where((F.col(CK) == "click") & _every(10)).join(stored, PK, "left").select("event_id", "stored")
 
 
+@query("with s as (select user_id, arg_max(props, ts) as stored from events where event_type <> 'click' group by all) select event_id, stored from events left join s using (user_id) where event_type = 'click'")
+def cdc_list_readback_all(spark, d):
+    e = _events(spark, d)
+    stored = reconcile.merge_cells(e.where(F.col(CK) != "click"), [PK], "ts", [Cell("stored", F.col("props"))])
+    return e.where(F.col(CK) == "click").join(stored, PK, "left").select("event_id", "stored")
+
+
 @query(
     """with m as (select user_id, event_id, row_number() over (partition by user_id order by event_id) rn, count(*) over (partition by user_id) n from events), o as (select *, lead(event_id) over (partition by user_id order by event_id) as hi from m)
     select user_id, event_id as lo, hi from o where rn < n"""

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from quorate.functions import schema, tokens
 from quorate.operators import ring
+from quorate.plans import catalogue
 
 
 def test_murmur3_vectors():
@@ -98,3 +99,10 @@ def test_read_plan(spark):
     held = spark.createDataFrame([(t, f"n{i}", rep) for t in (-3, 50, 900) for i in range(6) for rep in (True, False)], "token long, node string, repaired boolean")
     got = {(r.token, r.node, r.repaired) for r in replicated.read_replicas(held, parts, repaired="repaired").collect()}
     assert got == {(t, n, rep) for t in (-3, 50, 900) for n, rep in (("n2", True), ("n2", False), ("n4", False))}
+
+
+def test_random_tokens_of_all_customers(spark):
+    rows = catalogue.queries()["token_random_all"](spark, "/root/testdata/sf0.001").collect()
+    signed = {r.c_name: int.from_bytes(hashlib.md5(r.c_name.encode()).digest(), "big", signed=True) for r in rows}
+    assert min(signed.values()) < 0 < max(signed.values())
+    assert all(int(r.token, 16) == abs(signed[r.c_name]) and len(r.token) == 32 for r in rows)
