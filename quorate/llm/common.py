@@ -1,13 +1,18 @@
-"""Helpers that several operators share: durable intermediates, distributed ranks, joins on hot keys."""
+"""Helpers that several operators share: durable intermediates, Arrow batches, distributed ranks, joins on hot keys."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows that one rank bucket should hold on average.
 RANK_BUCKET_ROWS = 20_000
@@ -15,10 +20,16 @@ RANK_BUCKET_ROWS = 20_000
 MOST_HOT_KEYS = 1_000
 
 
+#: Paths that durable() wrote, for each scratch() that is open.
+_written: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of the session's spark.checkpoint.dir; only where that is unset (as in tests) a temporary one."""
+    """The folder of the session's spark.checkpoint.dir. Unset, a temporary one, but only where driver and executors are one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "quorate-checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -33,9 +44,54 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    for paths in _written:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """What durable() writes in here is deleted at the end, but for paths that are taken from the list that this gives."""
+    paths: list[str] = []
+    _written.append(paths)
+    try:
+        yield paths
+    finally:
+        _written.remove(paths)
+        delete(spark, paths)
+
+
+def arrow_rows(df: DataFrame, keep: list[str], source: str, make: Callable[[list], list[list]], fields: str, rows: int = 1_000, many: bool = False) -> DataFrame:
+    """The columns `keep` beside what `make` gives for lists of values of the column `source`: a list for each of `fields` (as DDL).
+
+    Kept columns stay Arrow arrays, so nulls and long integers come out as they went in. With `many` the last list of
+    `make` isn't a column: it holds for each row that comes out the number of the row that it comes from.
+    """
+    added = T.StructType.fromDDL(fields)
+    schema = T.StructType([*(df.schema[k] for k in keep), *added])
+    kinds = list(to_arrow_schema(added).types)
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                out = make(part.column(len(keep)).to_pylist())
+                kept = [part.column(i) for i in range(len(keep))]
+                if many:
+                    origin = pa.array(out.pop(), pa.int64())
+                    kept = [k.take(origin) for k in kept]
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, kind) for x, kind in zip(out, kinds, strict=True))], names)
+
+    return df.select(*keep, F.col(source).alias("_source")).mapInArrow(run, schema)
+
+
 def bucket_count(rows: int) -> int:
     return max(32, rows // RANK_BUCKET_ROWS)
 
@@ -45,7 +101,7 @@ def ranked(df: DataFrame, key: list[str], order: list[str], name: str, rows: int
 
     Rows are numbered inside buckets of a hash of `order`; the buckets' sizes are then summed up within each
     key. So no task ever holds all rows of a key, and the rank depends on the data only, not on partitions.
-    `order` must identify a row.
+    `order` must identify a row: tables with rows that may be equal add a column of numbered().
     """
     n = bucket_count(rows)
     df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(n)))
@@ -61,6 +117,11 @@ def ranked(df: DataFrame, key: list[str], order: list[str], name: str, rows: int
     )
 
 
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """`df` with a number that no other row has; write it with durable() before it is used, so that it stays."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def join_on_hot_key(rows: DataFrame, sizes: DataFrame, key: str, n: str, total: int) -> DataFrame:
     """Inner join of `rows` with `sizes` (one row per key, `n` = rows of that key) where a few keys may be hot.
 
