@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -114,6 +115,18 @@ def test_licences(spark, awkward, empty):
         assert got[2:4] == ((places[0][0], places[-1][0]) if places else (None, None))
     got = licences.scan_documents(awkward).collect()
     assert len(got) == awkward.count() and licences.scan_documents(empty).count() == 0
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in awkward.collect())
+
+
+def test_licence_scan_is_linear():
+    scanner = licences.Scanner()
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert scanner.scan("under the MIT license, " * n)[:4] == (4 * n, n, 0, 4 * n - 4)
+        return time.perf_counter() - start
+
+    assert seconds(40_000) < 12 * max(0.02, seconds(10_000))
 
 
 def test_expressions():
@@ -122,7 +135,8 @@ def test_expressions():
     assert not licences.evaluate(licences.parse("MIT AND GPL-2.0"))
     assert licences.evaluate(licences.parse("GPL-2.0 WITH Classpath-exception-2.0"))
     assert licences.identifiers(licences.parse("GPL-2.0 WITH Classpath-exception-2.0 OR MIT")) == ["gpl-2.0", "mit"]
-    for bad in ("MIT OR", "(MIT", "AND MIT", "MIT)", ""):
+    assert licences.parse("MIT */") == ["mit"] and licences.parse("LicenseRef-own") == ["licenseref-own"]
+    for bad in ("MIT OR", "(MIT", "AND MIT", "MIT)", "", "the tag is documented", "MIT OR nonsense", "MIT WITH (Apache-2.0 OR MIT)", "(MIT) WITH LLVM-exception", "GPL-2.0 WITH MIT"):
         with pytest.raises(ValueError):
             licences.parse(bad)
     scanned = licences.Scanner().scan("x\n// SPDX-License-Identifier: Apache-2.0 OR MIT\n")
@@ -155,6 +169,42 @@ def test_articles_inside_marked_wrappers():
     assert boilerplate.main_text(f"<body><p>{text}</p><aside><article><p>{other}</p></article></aside></body>") == text
 
 
+def test_names_of_layouts_are_no_marks(spark):
+    text = "It is the text of the page and it is in the body of it."
+    japanese = "昨日の夕方、町の人々は三年近くかけて建てられた新しい図書館の開館を祝うために中央広場に集まりました。地元の企業や学校の支援を受けて、子どもたちのための部屋も作られました。"
+    comments = f'<section id="comments"><article class="comment"><p>{text} {text}</p></article></section>'
+    for start, end in (
+        ('<div class="container right-sidebar"><article>', "</article></div>"), ('<div class="no-comments"><article>', "</article></div>"), ('<div class="content has-ads">', "</div>"),
+        ('<div class="page tags"><article>', "</article></div>"), ('<div class="post share-enabled">', "</div>"), ('<section class="post comments-open">', "</section>"), ("<div>", "</div>"),
+    ):
+        for body in (text, japanese):
+            page = f'<body><nav><a href="/x">{body}</a></nav>{start}<p>{body}</p><p>{body}</p>{end}{comments}<div class="site-footer"><p>{text}</p></div></body>'
+            assert boilerplate.main_text(page) == f"{body}\n{body}", start
+    for name, marks in (("site-footer", True), ("commentList", True), ("ad", True), ("has-sidebar", False), ("share-enabled", False), ("download", False), ("header", False)):
+        assert boilerplate.marking(name) == marks, name
+
+
+def test_pages_are_read_in_linear_time():
+    def seconds(page):
+        start = time.perf_counter()
+        boilerplate.main_text(page)
+        return time.perf_counter() - start
+
+    for page in ("<div><b class=ad>{}</b></div>", "{}</i></b>", "<i><p>{}", '<a "{}', "<a href='{}", "<!-{}", "<b class=ad>{}</i>"):
+        make = lambda n: page.split("{}")[0] * n + "x" + page.split("{}")[1] * n  # noqa: B023, E731
+        assert seconds(make(16_000)) < 12 * max(0.02, seconds(make(4_000))), page
+
+
+def test_pages_beyond_the_usual(spark):
+    long = "<article>" + "<p>It is the text of the page and it is in the body of it.</p>" * 20_000 + "</article>"
+    rows = [(2**53 + 1, "u", long, "clash"), (None, None, None, None), (2**53 + 3, "u", "", "clash"), (2**53 + 3, "u", "", "clash")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    got = {(r.page_id, r.n_chars) for r in boilerplate.extract_pages(pages).collect()}
+    assert got == {(2**53 + 1, 20_000 * 56 - 1), (None, 0), (2**53 + 3, 0)}
+    assert boilerplate.extract_pages(pages).columns == ["page_id", "url", "text", "n_chars"]
+    assert boilerplate.extract_pages(pages.where("1 = 0")).count() == 0
+
+
 def test_languages_without_known_stop_words():
     for text in (
         "Вчера вечером жители города собрались на центральной площади, чтобы отметить открытие новой библиотеки, которую строили почти три года при поддержке местных предприятий и школ.",
