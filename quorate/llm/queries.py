@@ -34,8 +34,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rules = rulelist.learn(rulelist.labelled_statistics(docs, labels(spark, sf_dir)))
     judged = rulelist.judge(docs.select("doc_id", "text"), rules)
-    counts = [F.col(f"_s.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    return judged.select("doc_id", *counts, "base_failed", "kept", "rule")
+    return judged.select("row.doc_id", "s.n_words", "s.word_chars", "s.n_symbols", "s.n_dup_lines", "s.n_repeat_words", "base_failed", "kept", "rule")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

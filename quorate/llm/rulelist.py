@@ -7,7 +7,9 @@ prunes it on the other third, keeps it if it is precise there, removes what it c
 emitted as ordered CASE WHEN conditions, so that it reads as SQL and scores all rows inside the JVM.
 
 Defined results: a null or empty text has no words and all counts 0, so it fails the base rules. Repeated rows
-are judged each. An empty table gives no rows; without labelled rows the list is empty and the base rules decide.
+are judged each. An empty table gives no rows; without labelled rows the list is empty and the base rules decide. Columns
+of the input keep their values whatever they are called: judge() returns them inside one struct. A text of any length is
+counted exactly.
 """
 
 from __future__ import annotations
@@ -42,37 +44,57 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{WHITE[0]}\t-\r]+"), lambda x: x != "")
 
 
-def repeated_words(hashes: Column) -> Column:
-    """How many words lie in a three-word window that the text has twice or more; from the words' hashes.
+def repeated_words(words: Column, hashes: Column) -> Column:
+    """How many of the words lie in a three-word window that the text has twice or more; `hashes`: the words' hashes.
 
-    Windows are sorted as single longs, so that Spark sorts primitives: the hash without its lowest bits, and in
-    these the window's number. n windows leave 64 - log2(n) bits of hash.
+    A text whose windows' hashes all differ has none. Else windows are sorted as single longs, so that Spark sorts
+    primitives: the hash without its lowest bits, and in these the window's number. Neighbours of equal hash are
+    compared by their words. If some of these differ (hashes met by chance), the windows of equal hash are sorted by
+    their words themselves. So the count is exact for every text.
     """
 
+    def same_words(i: Column, j: Column) -> Column:
+        out = F.get(words, i) == F.get(words, j)
+        for k in (1, 2):
+            out = out & (F.get(words, i + k) == F.get(words, j + k))
+        return out
+
     def from_grams(grams: Column) -> Column:
         bits = F.ceil(F.log2(F.size(grams) + 1)).cast("int")
 
-        def numbered(b: Column) -> Column:
+        def placed(b: Column) -> Column:
             key = F.transform(grams, lambda h, i: F.call_function("shiftleft", F.call_function("shiftright", h, b), b).bitwiseOR(i.cast("long")))
             return let(F.sort_array(key), lambda s: from_sorted(s, b))
 
-        return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0)).otherwise(let(bits, numbered))
+        return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0).cast("long")).otherwise(let(bits, placed))
+
+    def marked(rows: Column, equal: Column, place) -> Column:
+        """Places of the rows that equal their neighbour; `equal`: of each row with the next."""
+        either = F.zip_with(equal, F.concat(F.array(F.lit(False)), equal), lambda x, y: F.coalesce(x, F.lit(False)) | F.coalesce(y, F.lit(False)))
+        own = F.filter(F.zip_with(rows, either, lambda r, m: F.when(m, place(r))), lambda p: p.isNotNull())
+        return F.sort_array(own)
+
+    def union(p: Column) -> Column:
+        steps = F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
+        return F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
     def from_sorted(s: Column, bits: Column) -> Column:
         hash_of = lambda x: F.call_function("shiftright", x, bits)
         number = lambda x: x.bitwiseXOR(F.call_function("shiftleft", hash_of(x), bits))
-        same = F.zip_with(s, F.slice(s, F.lit(2), F.size(s)), lambda a, b: hash_of(a) == hash_of(b))
+        following = F.slice(s, F.lit(2), F.size(s))
+        # 0: other hashes; 1: equal words; 2: equal hashes of other words
+        meets = F.zip_with(s, following, lambda a, b: F.when(hash_of(a) != hash_of(b), 0).when(same_words(number(a).cast("int"), number(b).cast("int")), 1).otherwise(2))
 
-        def places(e: Column) -> Column:
-            marked = F.zip_with(e, F.concat(F.array(F.lit(False)), e), lambda x, y: F.coalesce(x, F.lit(False)) | F.coalesce(y, F.lit(False)))
-            own = F.filter(F.zip_with(s, marked, lambda a, m: F.when(m, a)), lambda p: p.isNotNull())
-            return F.sort_array(F.transform(own, number))
+        def counted(m: Column) -> Column:
+            by_hash = lambda wanted: marked(s, F.transform(m, wanted), number)
+            return F.when(F.array_contains(m, 2), by_words(by_hash(lambda x: x > 0))).otherwise(let(by_hash(lambda x: x == 1), union))
 
-        def union(p: Column) -> Column:
-            steps = F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
-            return F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
+        return let(meets, counted)
 
-        return let(same, lambda e: let(places(e), union))
+    def by_words(places: Column) -> Column:
+        window = F.transform(places, lambda p: F.struct(*(F.get(words, (p + k).cast("int")).alias(f"w{k}") for k in range(3)), p.alias("p")))
+        equal = lambda a, b: (a["w0"] == b["w0"]) & (a["w1"] == b["w1"]) & (a["w2"] == b["w2"])
+        return let(F.sort_array(window), lambda s: let(marked(s, F.zip_with(s, F.slice(s, F.lit(2), F.size(s)), equal), lambda r: r["p"]), union))
 
     def grams_of(h: Column) -> Column:
         pairs = F.zip_with(h, F.slice(h, F.lit(2), F.size(h)), lambda a, b: F.xxhash64(a, b))
@@ -83,28 +105,29 @@ def repeated_words(hashes: Column) -> Column:
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with a struct column `_s` of counts of each whole text."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    """(row, s): each row of `docs` as a struct, and a struct of counts of its whole text."""
+    t = F.coalesce(F.col(f"row.{text}"), F.lit(""))
     full_lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
     n = F.length(t)
-    counts = docs.withColumn("_h", F.transform(words_of(F.col(text)), lambda x: F.xxhash64(x)))
+    counts = docs.select(F.struct("*").alias("row")).withColumn("_w", words_of(F.col(f"row.{text}")))
+    counts = counts.withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
     # explode of a one-element array: a step that the optimiser doesn't fold into the uses of the counts, each of
     # which would otherwise compute them again.
     return counts.select(
-        "*",
+        "row",
         F.explode(F.array(F.struct(
             F.size("_h").cast("long").alias("n_words"),
             F.length(F.translate(t, WHITE, "")).cast("long").alias("word_chars"),
             (n - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
             let(full_lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("_h")).cast("long").alias("n_repeat_words"),
+            repeated_words(F.col("_w"), F.col("_h")).cast("long").alias("n_repeat_words"),
             F.size(F.array_distinct("_h")).cast("long").alias("n_distinct"),
             F.length(F.regexp_replace(t, "[^\\p{Lu}]+", "")).cast("long").alias("n_upper"),
             (n - F.length(F.translate(t, "!?", ""))).cast("long").alias("n_exclaim"),
             (n - F.length(F.translate(t, "0123456789", ""))).cast("long").alias("n_digits"),
             (n - F.length(F.translate(t, "\n", "")) + 1).cast("long").alias("n_lines"),
-        ))).alias("_s"),
-    ).drop("_h")
+        ))).alias("s"),
+    )
 
 
 #: The statistics that conditions may test: name -> (numerator, denominator) of the counts.
@@ -121,7 +144,7 @@ RATES = {
 }
 
 
-def rate(name: str, s: str = "_s") -> Column:
+def rate(name: str, s: str = "s") -> Column:
     above, below = RATES[name]
     return (F.col(f"{s}.{above}") / F.greatest(F.col(f"{s}.{below}"), F.lit(1))).cast("double")
 
@@ -219,8 +242,8 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, text: str = "text",
         .select(F.col(key).alias("_k"), "quality")
         .orderBy(F.xxhash64("_k"), "_k").limit(most).dropDuplicates(["_k"])
     )
-    rows = with_statistics(docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("_k")), text)
-    rows = rows.select((F.col("quality") == 0).alias("bad"), (F.crc32(F.col(key).cast("string").cast("binary")) % 3).alias("part"), F.xxhash64(key).alias("_order"), *(rate(n).alias(n) for n in RATES))
+    rows = with_statistics(docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), F.col("_id") == F.col("_k")), "_text")
+    rows = rows.select((F.col("row.quality") == 0).alias("bad"), (F.crc32(F.col("row._id").cast("string").cast("binary")) % 3).alias("part"), F.xxhash64("row._id").alias("_order"), *(rate(n).alias(n) for n in RATES))
     # A key repeats only where the table repeats it; the bound holds for the rows that are collected too.
     return [r.asDict() for r in rows.orderBy("_order", *RATES).limit(most).collect()]
 
@@ -237,7 +260,7 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
-    """`docs` with _s (counts), base_failed, rule (which fired) and kept."""
-    out = with_statistics(docs, text)
-    failed = (F.col("_s.n_words") < MIN_WORDS) | (100 * F.col("_s.n_repeat_words") > 50 * F.col("_s.n_words"))
-    return out.withColumn("base_failed", failed).withColumn("rule", verdict(rules)).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    """(row, s, base_failed, rule, kept): the row of `docs`, its counts, the number of the rule that fired (or null), the verdict."""
+    failed = (F.col("s.n_words") < MIN_WORDS) | (100 * F.col("s.n_repeat_words") > 50 * F.col("s.n_words"))
+    out = with_statistics(docs, text).select("row", "s", failed.alias("base_failed"), verdict(rules).alias("rule"))
+    return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())

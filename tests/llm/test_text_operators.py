@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_statistics_by_brute_force(spark, awkward, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(awkward.select("doc_id", "text"))
-    for r in rulelist.with_statistics(docs).select("text", "_s.*").collect():
+    for r in rulelist.with_statistics(docs).select("row.text", "s.*").collect():
         text = r.text or ""
         words = re.findall(r"[^\x20\x09-\x0D]+", text)
         grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
@@ -29,7 +29,7 @@ def test_statistics_by_brute_force(spark, awkward, empty):
 def test_rules_reject_bad_rows_only(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     rules = rulelist.learn(rulelist.labelled_statistics(docs, labels))
-    judged = rulelist.judge(docs, rules).join(labels, "doc_id").where("not base_failed")
+    judged = rulelist.judge(docs, rules).select("row.doc_id", "base_failed", "kept").join(labels, "doc_id").where("not base_failed")
     n = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
     assert rules and n.get((1, False), 0) <= 0.01 * n[1, True] and n.get((0, False), 0) >= 2 * n.get((0, True), 0)
 
