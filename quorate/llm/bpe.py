@@ -8,7 +8,9 @@ what the merge procedure yields exactly when all its adjacent pairs are compatib
 found is the right one. Positions from which no continuation exists are remembered per entry before them,
 which keeps the work linear in the length of the piece.
 
-Null texts count as empty; an empty text has no ids. Extra columns of the input are ignored by the query.
+Null texts count as empty; an empty text has no ids. Repeated rows and keys are encoded each; texts of any length are
+encoded whole (chunks of more than LONG_CHUNK characters without being remembered); an empty table gives no rows; other
+columns than key and text are ignored.
 """
 
 from __future__ import annotations
@@ -16,15 +18,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-#: Entries of each memo; a full memo is emptied, so memory stays bounded.
+from quorate.llm.common import arrow_rows
+
+#: Entries of each memo; a full memo is emptied, so memory stays bounded. Longer chunks than LONG_CHUNK aren't remembered.
 MEMO_ENTRIES = 800_000
+LONG_CHUNK = 64
 #: White space as the Unicode property White_Space has it (a fixed list).
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Cuts a text only where the usual pre-tokenizer patterns also cut: letters with the blank before them up to white
@@ -38,13 +41,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Memo(dict):
-    """A dict that computes missing values and empties itself when full."""
+    """A dict that computes missing values and empties itself when full; keys that are longer than `longest` aren't kept."""
 
-    def __init__(self, compute, most: int = MEMO_ENTRIES):
+    def __init__(self, compute, most: int = MEMO_ENTRIES, longest: int | None = None):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.longest = compute, most, longest
 
     def __missing__(self, key):
+        if self.longest is not None and len(key) > self.longest:
+            return self.compute(key)
         if len(self) >= self.most:
             self.clear()
         value = self[key] = self.compute(key)
@@ -62,7 +67,7 @@ class BytePairCodec:
         self.automaton.make_automaton()
         self.halves = Memo(self._halves)
         self.pairs = Memo(self._compatible)
-        self.chunks = Memo(self._chunk)
+        self.chunks = Memo(self._chunk, longest=LONG_CHUNK)
 
     def merged(self, data: bytes, below: int = 1 << 60) -> list[int]:
         """The definition: merge the adjacent pair of least rank until none of rank under `below` is left. For short data."""
@@ -166,36 +171,25 @@ def codec(path: str, pattern: str) -> BytePairCodec:
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, ids array<int>, decoded binary) of each row: the encoder's output and its round trip."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(texts: list) -> list[list]:
         c = codec(path, pattern)
-        for batch in batches:
-            for part in _slices(batch, text):
-                packed = [c.encode_to_bytes(t or "") for t in part[text]]
-                ids = [memoryview(p).cast("I").tolist() for p in packed]
-                yield pd.DataFrame({key: part[key], "n_tokens": [len(i) for i in ids], "ids": ids, "decoded": [c.decode(i) for i in ids]})
+        ids = [c.encode(t or "") for t in texts]
+        return [[len(i) for i in ids], ids, [c.decode(i) for i in ids]]
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, n_tokens bigint, ids array<int>, decoded binary")
+    return arrow_rows(docs, [key], text, encode, "n_tokens bigint, ids array<int>, decoded binary", rows=250)
 
 
 def digest_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) of each row; the ids themselves don't leave the worker."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def digest(texts: list) -> list[list]:
         c = codec(path, pattern)
-        for batch in batches:
-            out = []
-            for t in batch[text]:
-                packed = c.encode_to_bytes(t or "")
-                decoded = c.decode(memoryview(packed).cast("I"))
-                out.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-            counts, ids, decoded = zip(*out) if out else ((), (), ())
-            yield pd.DataFrame({key: batch[key], "n_tokens": counts, "ids_sha256": ids, "decoded_sha256": decoded})
-
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-
-
-def _slices(batch: pd.DataFrame, text: str, rows: int = 256) -> Iterator[pd.DataFrame]:
-    for i in range(0, len(batch), rows):
-        yield batch.iloc[i : i + rows]
+        out: list[list] = [[], [], []]
+        for t in texts:
+            packed = c.encode_to_bytes(t or "")
+            decoded = c.decode(memoryview(packed).cast("I"))
+            for column, value in zip(out, (len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest())):
+                column.append(value)
+        return out
+
+    return arrow_rows(docs, [key], text, digest, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
