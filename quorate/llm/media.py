@@ -7,7 +7,11 @@ reads: `read_headers` reads the first 33 bytes of a member, `read_payloads` the
 
 The shared folder must be one that pyarrow.fs can open (file, s3, gs, hdfs with libhdfs). Payload: the text's
 UTF-8 bytes, zero-padded to a positive multiple of 64, as rows of a 64-pixel-wide 8-bit grey image. Null texts
-count as empty (a payload of 64 zeros). An empty table gives no rows; equal texts give equal values.
+count as empty (a payload of 64 zeros). An empty table gives no rows; equal texts and repeated rows give equal values; a
+text of any length is one member; other columns than key and text are ignored.
+
+A shard is closed at SHARD_BYTES or SHARD_ROWS, so a task holds the rows of one shard only, even if their texts are equal.
+Content is addressed inside a shard: a payload is stored once in each shard whose rows have it.
 """
 
 from __future__ import annotations
@@ -21,15 +25,18 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quorate.llm.common import durable, fresh_path
 
 WIDTH = 64
 HEADER_BYTES = 33  # signature and IHDR chunk
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
-SHARD_BYTES = 64 << 20
+SHARD_BYTES, SHARD_ROWS = 64 << 20, 100_000
 #: zlib level: fast, and the same bytes for the same payload.
 LEVEL = 1
 
@@ -88,9 +95,9 @@ class _Shard:
         self.fs, self.folder = filesystem, folder
         self.temporary = f"{folder}/.{uuid.uuid4().hex}"
         self.out = filesystem.open_output_stream(self.temporary, compression=None)
-        self.at, self.members, self.names, self.rows = 0, {}, hashlib.sha256(), []
+        self.at, self.members, self.names, self.rows, self.keys = 0, {}, hashlib.sha256(), [], []
 
-    def add(self, key, payload: bytes, n_bytes: int) -> None:
+    def add(self, payload: bytes, n_bytes: int) -> None:
         digest = hashlib.sha256(payload).hexdigest()
         if digest not in self.members:
             data = encode_png(payload)
@@ -102,37 +109,46 @@ class _Shard:
                 self.out.write(part)
                 self.at += len(part)
             self.names.update(digest.encode())
-        self.rows.append((key, n_bytes, digest, *self.members[digest]))
+        self.rows.append((n_bytes, digest, *self.members[digest]))
 
-    def close(self, key: str) -> pd.DataFrame:
+    def close(self, schema: pa.Schema) -> pa.RecordBatch:
+        """Rows of the index; `keys` holds the keys of these rows as Arrow arrays."""
         self.out.write(bytes(2 * tarfile.BLOCKSIZE))
         self.out.close()
         name = f"{self.names.hexdigest()}.tar"
         self.fs.move(self.temporary, f"{self.folder}/{name}")
-        rows = pd.DataFrame(self.rows, columns=[key, "n_bytes", "digest", "offset", "length"])
-        return rows.assign(shard=name)
+        columns = [*map(list, zip(*self.rows)), [name] * len(self.rows)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(self.keys), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:]))], schema.names)
+
+
+INDEX = "n_bytes bigint, digest string, offset bigint, length bigint, shard string"
 
 
-def write_shards(docs: DataFrame, folder: str, text: str = "text", key: str = "doc_id", most: int = SHARD_BYTES) -> DataFrame:
-    """The index (key, n_bytes, digest, offset, length, shard); running it writes the shards into `folder`."""
-    kind = docs.schema[key].dataType.simpleString()
+def write_shards(docs: DataFrame, folder: str, text: str = "text", key: str = "doc_id", most: int = SHARD_BYTES, most_rows: int = SHARD_ROWS) -> DataFrame:
+    """The index (key, INDEX); running it writes the shards into `folder`."""
+    schema = T.StructType([docs.schema[key], *T.StructType.fromDDL(INDEX)])
+    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, path = _filesystem(folder)
         shard = None
         for batch in batches:
-            for k, t in zip(batch[key], batch[text]):
+            first = 0  # of the batch's rows that the open shard has
+            for i, t in enumerate(batch.column(1)):
                 if shard is None:
                     filesystem.create_dir(path, recursive=True)
                     shard = _Shard(filesystem, path)
-                shard.add(k, *payload_of(t))
-                if shard.at >= most:
-                    yield shard.close(key).astype({key: batch[key].dtype})
-                    shard = None
+                shard.add(*payload_of(t.as_py()))
+                if shard.at >= most or len(shard.rows) >= most_rows:
+                    shard.keys.append(batch.column(0).slice(first, i + 1 - first))
+                    yield shard.close(arrow)
+                    shard, first = None, i + 1
+            if shard is not None and first < batch.num_rows:
+                shard.keys.append(batch.column(0).slice(first))
         if shard is not None:
-            yield shard.close(key)
+            yield shard.close(arrow)
 
-    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, n_bytes bigint, digest string, offset bigint, length bigint, shard string")
+    return docs.select(key, F.col(text).alias("_source")).mapInArrow(run, schema)
 
 
 class _Reader:
@@ -152,21 +168,28 @@ class _Reader:
 
 def read_headers(index: DataFrame, folder: str) -> DataFrame:
     """The index with width, height and bit_depth, from 33 bytes of each member."""
+    schema = T.StructType([*index.schema, *T.StructType.fromDDL("width bigint, height bigint, bit_depth int")])
+    kinds = list(to_arrow_schema(schema).types)[-3:]
+    names = schema.names
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(folder)
         for batch in batches:
-            heads = [decode_header(reader.read(s, o, HEADER_BYTES)) for s, o in zip(batch["shard"], batch["offset"])]
-            width, height, depth = zip(*heads) if heads else ((), (), ())
-            yield batch.assign(width=width, height=height, bit_depth=depth)
+            places = zip(batch.column("shard").to_pylist(), batch.column("offset").to_pylist())
+            heads = [decode_header(reader.read(s, o, HEADER_BYTES)) for s, o in places]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([h[i] for h in heads], kind) for i, kind in enumerate(kinds))], names)
+
+    return index.mapInArrow(run, schema)
+
 
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in index.schema)
-    return index.mapInPandas(run, f"{types}, width bigint, height bigint, bit_depth int")
+FEATURES = "payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
 
 
 def read_features(index: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
     """What is computed from each stored member: its hash, the payload read back and the payload's features."""
-    kind = index.schema[key].dataType.simpleString()
+    schema = T.StructType([index.schema[key], index.schema["n_bytes"], *T.StructType.fromDDL(FEATURES)])
+    kinds = list(to_arrow_schema(schema).types)[2:]
+    names = schema.names
 
     def one(data: bytes, width: int, height: int, depth: int) -> tuple:
         payload = decode_png(data)
@@ -175,20 +198,19 @@ def read_features(index: DataFrame, folder: str, key: str = "doc_id") -> DataFra
         feature = f"{width}x{height}x{depth} mean={mean:.4f} levels={int((counts > 0).sum())} zeros={int(counts[0])}"
         return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-WIDTH:]), len(data), hashlib.sha256(data).hexdigest(), feature
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(folder)
         for batch in batches:
             known: dict[tuple, tuple] = {}
-            out = []
-            for x in batch.itertuples(index=False):
-                place = (x.shard, x.offset, x.length)
+            out: list[list] = [[] for _ in kinds]
+            for place in zip(*(batch.column(c).to_pylist() for c in ("shard", "offset", "length", "width", "height", "bit_depth"))):
                 if place not in known:
-                    known[place] = one(reader.read(*place), x.width, x.height, x.bit_depth)
-                out.append((getattr(x, key), x.n_bytes, *known[place]))
-            names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            yield pd.DataFrame(out, columns=names).astype({key: batch[key].dtype})
+                    known[place] = one(reader.read(*place[:3]), *place[3:])
+                for column, value in zip(out, known[place]):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, kind) for c, kind in zip(out, kinds))], names)
 
-    return index.mapInPandas(run, f"{key} {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
+    return index.select(key, "n_bytes", "shard", "offset", "length", "width", "height", "bit_depth").mapInArrow(run, schema)
 
 
 def media_columns(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
