@@ -13,7 +13,8 @@ third of all rows is one number, not rows:
 Up to CELL groups this is plain differencing of step 3, after step 1.
 
 Law: `bytes`. A group's size is the sum over its rows of the UTF-8 bytes of the text plus 8. Null texts count as
-no bytes; all null and empty texts form one group. An empty table gives no rows. Repeated rows are rows.
+no bytes; all null and empty texts form one group. An empty table gives no rows. Repeated rows are rows, each with a slot
+of its own, also where all of a shard's rows are equal; texts of any length are one group; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import durable, join_on_hot_key, ranked
+from quorate.llm.common import durable, join_on_hot_key, numbered, ranked
 
 SHARDS = 24
 ROW_BYTES = 8
@@ -168,22 +169,20 @@ def assign_groups(groups: DataFrame, shards: int = SHARDS, cell: int = CELL, fan
 def shard_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", shards: int = SHARDS) -> DataFrame:
     """(key, size, text_crc32, law, shard, slot, grown_shard) of each row."""
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = durable(
-        docs.select(
-            key,
-            (F.octet_length(data) + ROW_BYTES).cast("long").alias("size"),
-            F.crc32(data).alias("text_crc32"),
-            F.unhex(F.sha2(data, 256)).alias("group"),
-        ),
-        "texts",
+    rows = docs.select(
+        key,
+        (F.octet_length(data) + ROW_BYTES).cast("long").alias("size"),
+        F.crc32(data).alias("text_crc32"),
+        F.unhex(F.sha2(data, 256)).alias("group"),
     )
+    rows = durable(numbered(rows), "texts")
     total = rows.count()
     groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("_copies"))
     groups = durable(groups, "groups")
     placed = assign_groups(groups.select("group", "bytes"), shards).join(groups.select("group", "_copies"), "group")
     placed = durable(placed, "placed")
     out = join_on_hot_key(rows, placed, "group", "_copies", total)
-    out = ranked(out.select(key, "size", "text_crc32", "shard"), ["shard"], [key, "text_crc32", "size"], "slot", total)
+    out = ranked(out.select(key, "size", "text_crc32", "shard", "_row"), ["shard"], [key, "text_crc32", "size", "_row"], "slot", total)
     return out.select(
         key, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
