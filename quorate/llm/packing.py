@@ -3,30 +3,37 @@
 A piece's length is between 1 and the capacity (1024), so how many pieces there are of each length is a table
 of at most 1024 rows however large the corpus is. The plan is made on that table: a *group* is a pattern of
 lengths with the number of sequences that have it. Best fit (longest pieces first, each into the fullest
-sequence that has room) and the local search (move a piece, exchange one for one or two for one between
-underfull sequences, always raising the sum of squared fills, until sequences become empty) work on whole
-groups. Then each piece takes the place that its rank among the pieces of its length has in the plan; ranks
-are numbered in buckets, so that no task holds all pieces of a length.
+sequence that has room) and the local search (move a piece, exchange one for one, two for one or one for two between
+underfull sequences, always raising the sum of squared fills, until no exchange does) work on whole groups. Then each
+piece takes the place that its rank among the pieces of its length has in the plan; ranks are numbered in buckets, so
+that no task holds all pieces of a length.
 
 Defined results: a null text counts as empty and gives one piece with only the end id; repeated rows are
-packed each; an empty table gives no rows; extra columns are ignored.
+packed each, also where all rows are equal; texts of any length are cut whole; an empty table gives no rows; other
+columns than key and text are ignored. The ids are those of the library with the strings of special tokens taken as
+ordinary text.
 """
 
 from __future__ import annotations
 
+import logging
 import os
 import zlib
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.bpe import CHUNK, Memo
-from quorate.llm.common import durable, ranked
+from quorate.llm.bpe import CHUNK, LONG_CHUNK, Memo
+from quorate.llm.common import arrow_rows, durable, numbered, ranked
+
+log = logging.getLogger(__name__)
 
 CAPACITY = 1024
 END_ID = 2
+#: Runs of places are cut at multiples of so many ranks, so a piece meets only the runs of its length and slot.
+SLOT_RANKS = 1 << 16
+#: Up to so many cut runs are broadcast; more are joined.
+BROADCAST_RUNS = 100_000
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
@@ -103,61 +110,64 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return plan
 
 
+def pairs_of(pattern: Pattern) -> list[tuple[int, int]]:
+    """The pairs of pieces of a sequence, once each."""
+    return [(x, y) for i, (x, n) in enumerate(pattern) for y, _ in pattern[i:] if x != y or n > 1]
+
+
 def improvement(giver: Pattern, taker: Pattern, capacity: int) -> tuple[int, tuple, tuple] | None:
-    """The exchange that brings most tokens from `giver` to the at least as full `taker`: (gain, given, given back)."""
-    room = capacity - fill(taker)
-    own = [x for x, _ in giver]
-    other = [x for x, _ in taker]
+    """The exchange that raises the squared fills of `giver` and `taker` most: (tokens that go over, given, given back)."""
+    room, ahead = capacity - fill(taker), fill(taker) - fill(giver)
+    own, other = [x for x, _ in giver], [x for x, _ in taker]
     best: tuple[int, tuple, tuple] | None = None
 
-    def offer(gain: int, given: tuple, back: tuple) -> None:
+    def offer(tokens: int, given: tuple, back: tuple) -> None:
         nonlocal best
-        if 0 < gain <= room and (best is None or gain > best[0]):
-            best = (gain, given, back)
+        if max(0, -ahead) < tokens <= room and (best is None or tokens > best[0]):
+            best = (tokens, given, back)
 
-    twos = [(x + y, (x, y)) for i, x in enumerate(own) for y in own[i:] if x != y or dict(giver)[x] > 1]
     for x in own:
         offer(x, (x,), ())
         for y in other:
             offer(x - y, (x,), (y,))
-    for size, pair in twos:
-        for y in other:
-            offer(size - y, pair, (y,))
-    for i, x in enumerate(other):
-        for y in other[i:]:
-            if x != y or dict(taker)[x] > 1:
-                for z in own:
-                    offer(z - x - y, (z,), (x, y))
+    for x, y in pairs_of(giver):
+        for z in other:
+            offer(x + y - z, (x, y), (z,))
+    for x, y in pairs_of(taker):
+        for z in own:
+            offer(z - x - y, (z,), (x, y))
     return best
 
 
-def local_search(plan: Plan, passes: int = 50) -> Plan:
-    """Exchange pieces between underfull sequences while that empties sequences.
+def local_search(plan: Plan) -> Plan:
+    """Exchange pieces between underfull sequences until no exchange raises the sum of squared fills.
 
-    Every step raises the sum of squared fills. A pass tries each underfull group, emptiest first, against the
-    others, fullest first; the search ends with the first pass that empties no sequence, or at the lower bound.
+    A pass tries each underfull group, emptiest first, against the others, fullest first. The sum grows with every step
+    and is bounded, so the search ends; it also ends at the lower bound of the number of sequences.
     """
     capacity = plan.capacity
     tokens = sum(times * fill(p) for p, times in plan.groups.items())
-    for _ in range(passes):
-        before = plan.sequences()
-        if before <= -(-tokens // capacity):
-            break
+    raised = True
+    while raised and plan.sequences() > -(-tokens // capacity):
+        raised = False
         for source in sorted((p for p in plan.groups if fill(p) < capacity), key=lambda p: (fill(p), p)):
             giver = source
             while giver and giver in plan.groups:
                 best = None
-                for taker in sorted((p for p in plan.groups if fill(giver) <= fill(p) < capacity), key=lambda p: (-fill(p), p)):
+                for taker in sorted((p for p in plan.groups if fill(p) < capacity), key=lambda p: (-fill(p), p)):
                     if taker == giver and plan.groups[giver] < 2:
                         continue
                     found = improvement(giver, taker, capacity)
-                    if found and (best is None or found[0] > best[0][0]):
-                        best = (found, taker)
-                        if fill(taker) + found[0] == capacity:
-                            break
+                    if found is None:
+                        continue
+                    gain = 2 * found[0] * (fill(taker) - fill(giver) + found[0])
+                    if best is None or gain > best[0]:
+                        best = (gain, found, taker)
+                    if fill(taker) + found[0] == capacity or found[0] == fill(giver):
+                        break
                 if best is None:
                     break
-                (_, given, back), taker = best
+                _, (_, given, back), taker = best
                 times = plan.groups[giver] // 2 if taker == giver else min(plan.groups[giver], plan.groups[taker])
                 plan.take(giver, times)
                 plan.take(taker, times)
@@ -165,13 +175,15 @@ def local_search(plan: Plan, passes: int = 50) -> Plan:
                 rest = changed(giver, given, back)
                 plan.add(rest, times)
                 giver = rest
-        if plan.sequences() >= before:
-            break
+                raised = True
     return plan
 
 
 def places(plan: Plan) -> list[tuple[int, int, int, int, int, int]]:
-    """(length, first rank, rank after the last, pieces a sequence, first sequence, first offset) of each run."""
+    """(length, first rank, rank after the last, pieces a sequence, first sequence, first offset) of each run.
+
+    There are as many runs as lengths in all patterns: best fit adds a few groups for each of the at most `capacity` lengths.
+    """
     used: dict[int, int] = {}
     out, sequence = [], 0
     for pattern in sorted(plan.groups, key=lambda p: (-fill(p), p)):
@@ -202,7 +214,7 @@ def _encoder(path: str) -> Memo:
         def ids(chunk: str) -> bytes:
             return b"".join(i.to_bytes(4, "little") for i in tokenizer.encode(chunk, add_special_tokens=False).ids)
 
-        _encoders[path] = Memo(ids)
+        _encoders[path] = Memo(ids, longest=LONG_CHUNK)
     return _encoders[path]
 
 
@@ -212,35 +224,41 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
+def slots_of(runs: list[tuple[int, int, int, int, int, int]], size: int = SLOT_RANKS) -> list[tuple]:
+    """The runs, each once for every slot of `size` ranks that it reaches into: (length, slot, first, end, each, sequence, offset)."""
+    return [(length, slot, first, end, *rest) for length, first, end, *rest in runs for slot in range(first // size, (end - 1) // size + 1)]
+
+
 def pieces(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
     """(key, piece, start, length, ids_crc32) of each piece of each row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut_all(texts: list) -> list[list]:
         known = _encoder(path)
         end = END_ID.to_bytes(4, "little")
-        for batch in batches:
-            out = []
-            for k, t in zip(batch[key], batch[text]):
-                ids = b"".join(map(known.__getitem__, CHUNK.findall(t or ""))) + end
-                out += [(k, i, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])) for i, (s, n) in enumerate(cut(len(ids) // 4, capacity))]
-            yield pd.DataFrame(out, columns=[key, "piece", "start", "length", "ids_crc32"]).astype({key: batch[key].dtype})
+        out = []
+        for row, t in enumerate(texts):
+            ids = b"".join(map(known.__getitem__, CHUNK.findall(t or ""))) + end
+            out += [(i, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)]), row) for i, (s, n) in enumerate(cut(len(ids) // 4, capacity))]
+        return [list(x) for x in zip(*out)]
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return arrow_rows(docs, [key], text, cut_all, "piece int, start bigint, length bigint, ids_crc32 bigint", many=True)
 
 
 def pack(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
     """Every piece of `docs` with its sequence_id and its offset there."""
     spark = docs.sparkSession
-    cuts = durable(pieces(docs, path, text, key, capacity), "pieces")
+    cuts = durable(numbered(pieces(docs, path, text, key, capacity)), "pieces")
     histogram = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
-    plan = local_search(best_fit(histogram, capacity))
-    schema = "length bigint, _first bigint, _end bigint, _each bigint, _sequence bigint, _offset bigint"
-    table = spark.createDataFrame(places(plan), schema)  # a row for each run of a group: bounded by the capacity, not by the rows
+    plan = best_fit(histogram, capacity)
+    before, tokens = plan.sequences(), sum(x * n for x, n in histogram.items())
+    plan = local_search(plan)
+    log.info("%d pieces: %d sequences by best fit, %d after the local search, %d at least", sum(histogram.values()), before, plan.sequences(), -(-tokens // capacity))
+    runs = slots_of(places(plan))
+    table = spark.createDataFrame(runs, "length bigint, _slot bigint, _first bigint, _end bigint, _each bigint, _sequence bigint, _offset bigint")
     at = F.col("_rank") - F.col("_first")
+    found = ranked(cuts, ["length"], [key, "piece", "ids_crc32", "_row"], "_rank", sum(histogram.values())).withColumn("_slot", F.floor(F.col("_rank") / SLOT_RANKS))
     return (
-        ranked(cuts, ["length"], [key, "piece", "ids_crc32"], "_rank", sum(histogram.values()))
-        .join(F.broadcast(table), "length")
+        found.join(F.broadcast(table) if len(runs) <= BROADCAST_RUNS else table, ["length", "_slot"])
         .where((F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end")))
         .select(
             key, "piece", "start", "length", "ids_crc32",

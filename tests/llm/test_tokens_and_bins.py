@@ -78,6 +78,76 @@ def test_plan_holds_every_piece(lengths):
     assert plan.sequences() <= before and plan.squared_fill() >= fill
 
 
+def fewest(items, capacity, most):
+    """The least number of bins by trying all placements."""
+    items = sorted(items, reverse=True)
+    best = most
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best or -(-(sum(bins) + sum(items[i:])) // capacity) >= best:
+            return
+        if i == len(items):
+            best = len(bins)
+            return
+        for held in set(bins):
+            if held + items[i] <= capacity:
+                bins[bins.index(held)] += items[i]
+                place(i + 1, bins)
+                bins[bins.index(held + items[i])] -= items[i]
+        place(i + 1, [*bins, items[i]])
+
+    place(0, [])
+    return best
+
+
+def test_local_search_against_the_optimum():
+    r = random.Random(1)
+    first = after = optimum = 0
+    for trial in range(60):
+        pairs = [(r.randint(26, 40), r.randint(26, 40)) for _ in range(5)]
+        items = [x for a, b in pairs for x in (a, b, 100 - a - b)] if trial % 2 else [r.choice([51, 27, 26, 23, 25, 24, 49]) for _ in range(15)]
+        plan = packing.best_fit(dict(Counter(items)), 100)
+        first += plan.sequences()
+        found = packing.local_search(plan).sequences()
+        after += found
+        optimum += fewest(items, 100, found)
+    assert optimum <= after < first and first - after >= 0.3 * (first - optimum)
+
+
+def test_local_search_on_many_triples():
+    r = random.Random(2)
+    pairs = [(r.randint(260, 400), r.randint(260, 400)) for _ in range(300)]
+    plan = packing.best_fit(dict(Counter(x for a, b in pairs for x in (a, b, 1024 - a - b))))
+    before = plan.sequences()
+    assert packing.local_search(plan).sequences() - 300 <= (before - 300) / 4
+
+
+def test_runs_cut_at_slots():
+    runs = [(7, 0, 10, 2, 0, 0), (7, 10, 35, 1, 5, 3), (9, 0, 1, 1, 30, 0)]
+    cut = packing.slots_of(runs, 8)
+    for length, rank in [(7, i) for i in range(35)] + [(9, 0)]:
+        assert len([r for r in cut if r[0] == length and r[1] == rank // 8 and r[2] <= rank < r[3]]) == 1
+
+
+def test_equal_rows_are_ranked_and_packed(spark):
+    rows = spark.range(3_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("same text").alias("text"))
+    got = packing.pack(rows, JSON).collect()
+    assert len(got) == 3_000 == len({(r.sequence_id, r.offset) for r in got})
+    shards = sharding.shard_documents(rows).collect()
+    assert sorted(r.slot for r in shards) == list(range(3_000)) and len({r.shard for r in shards}) == 1
+
+
+def test_special_strings_and_long_chunks():
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    known = packing._encoder(JSON)
+    for text in ("<|endoftext|>", "a<|endoftext|>b <|endoftext|>", "x" * 5_000, "日本" * 900):
+        ids = b"".join(map(known.__getitem__, bpe.CHUNK.findall(text)))
+        assert memoryview(ids).cast("I").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert all(len(k) <= bpe.LONG_CHUNK for k in known) and all(len(k) <= bpe.LONG_CHUNK for k in CODEC.chunks)
+
+
 def test_local_search_empties_a_sequence():
     plan = packing.Plan(10)
     for pattern in (((6, 1), (2, 1)), ((5, 1), (3, 1)), ((4, 1),)):
@@ -146,3 +216,15 @@ def test_media(spark, awkward, empty, tmp_path):
     assert set(held) == {f"{d}.png" for d in want}
     assert all(hashlib.sha256(media.decode_png(v)).hexdigest() == k[:-4] for k, v in held.items())
     assert media.media_columns(empty).count() == 0
+    ids = Counter(r.doc_id for r in awkward.collect())
+    assert Counter(r.doc_id for r in rows) == ids
+
+
+def test_shards_close_by_rows(spark, tmp_path):
+    folder = f"file://{tmp_path}/media"
+    docs = spark.createDataFrame([(i if i % 3 else None, "equal") for i in range(1_000)], "doc_id bigint, text string").coalesce(1)
+    index = media.write_shards(docs, folder, most_rows=64).cache()
+    rows = media.read_features(media.read_headers(index, folder), folder).collect()
+    assert len(rows) == 1_000 and len({r[2:] for r in rows}) == 1
+    assert Counter(r.doc_id for r in rows) == Counter(i if i % 3 else None for i in range(1_000))
+    assert len(list((tmp_path / "media").glob("*.tar"))) == 1  # 16 shards of the same content have one name
