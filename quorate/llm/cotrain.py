@@ -1,70 +1,210 @@
 """Quality classifier by co-training: two views of a document teach each other, then vote.
 
-View 1 is the text's content (rates of symbols, repetition, capitals and so on, computed by Spark). View 2 is the
-page's metadata: language, source and length, hashed or binned. Both are logistic regressions in numpy, fitted on
-the driver from at most LABELLED_ROWS labelled and UNLABELLED_ROWS unlabelled rows (documented bounds; those with
-the least hash of the id). In each round each view labels the unlabelled rows that it is surest of, as far as its
-calibrated confidence passes CONFIDENT, and hands them to the other view. At the end both views are calibrated
-(Platt) on rows kept out of the fit and combined by a small logistic regression on these. All documents are then
-scored by one Spark expression.
-
-Defined results: null text, language, source or length count as empty, unknown or 0. Without labelled rows of both
-classes every score is the share of good labels (1 without labels). Repeated rows are scored each.
+View 1 is the text's content: rates of symbols, repetition, capitals and so on, computed by Spark, and hashed words,
+pairs of words and character trigrams, each as the root of its share of the text. View 2 is the page's metadata: language, source
+and length and their pairs, hashed or binned. Both are logistic regressions in numpy, fitted on the driver from at
+most LABELLED_ROWS labelled rows (a documented bound; those with the least hash of the id) and what the views hand to
+each other. All other documents are the pool: in each round both views score all of it, and each labels the rows that
+it is surest of, at most EXCHANGED of either label and only where its calibrated confidence passes CONFIDENT, for the
+other view. At the end both views are calibrated (Platt) on rows kept out of the fit and combined by a small logistic
+regression on these. All documents are then scored.
+
+The pool's features are written once as a compact table (VECTOR bytes a document); a round is a scan of it whose tasks
+give their best rows, so the driver gets 4 * EXCHANGED rows a round, however large the pool is.
+
+Defined results: null text, language, source or length count as empty, unknown or 0; texts of any length are read whole.
+Without labelled rows of both classes every score is the share of good labels (1 without labels). Repeated rows
+are scored each; rows of equal confidence go by the hash of their id and then their place in the table. Columns of the
+input keep their values whatever they are called: score() returns them inside one struct.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quorate.llm.common import held_out
+from quorate.llm.bagminhash import U, fold, mix, word_hashes_of
+from quorate.llm.common import durable, held_out, numbered
 from quorate.llm.rulelist import RATES, rate, with_statistics
 
-LABELLED_ROWS, UNLABELLED_ROWS = 4_000, 4_000
+LABELLED_ROWS = 4_000
 ROUNDS, EXCHANGED = 5, 100
 CONFIDENT = 0.95
 #: Each rate is clipped here and then also taken as a square root, so that a linear model can use small values.
 TOP = {"mean_word": 20.0, "words_per_line": 100.0}
-LANG_SLOTS, SOURCE_SLOTS, LENGTH_SLOTS = 8, 32, 24
-
-
-def text_features() -> dict[str, Column]:
-    out: dict[str, Column] = {}
+WORD_SLOTS, PAIR_SLOTS, GRAM_SLOTS = 512, 256, 256
+VECTOR = WORD_SLOTS + PAIR_SLOTS + GRAM_SLOTS
+#: Bytes of texts that are hashed at once.
+BYTES_AT_ONCE = 1 << 20
+#: Slots of the metadata view: language, source, length, source and length, language and length.
+LANG_SLOTS, SOURCE_SLOTS, LENGTH_SLOTS, CROSS_SLOTS = 8, 32, 24, 64
+META = LANG_SLOTS + SOURCE_SLOTS + LENGTH_SLOTS + 2 * CROSS_SLOTS
+RATE_PENALTY, HASH_PENALTY, META_PENALTY = 0.01, 1.0, 1.0
+
+
+# --- the views ------------------------------------------------------------------------------------------------
+
+
+def pieces_of(text: str | None) -> Iterator[bytes]:
+    """The folded text in parts of at most BYTES_AT_ONCE bytes, cut at blanks where there are any."""
+    data, at = fold(text), 0
+    while at < len(data):
+        end = min(at + BYTES_AT_ONCE, len(data))
+        if end < len(data) and (blank := data.rfind(b" ", at, end)) > at:
+            end = blank + 1
+        yield data[at:end]
+        at = end
+
+
+def counted(pieces: list[bytes], owners: list[int], n: int) -> np.ndarray:
+    """(n, VECTOR) counts of hashed words, word pairs and character trigrams."""
+
+    def add(own: np.ndarray, slot: np.ndarray, slots: int) -> np.ndarray:
+        return np.bincount(own * slots + slot.astype(np.int64), minlength=n * slots).reshape(n, slots)
+
+    words = [word_hashes_of(p) for p in pieces]
+    own = np.repeat(owners, [len(w) for w in words])
+    piece = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    flat = np.concatenate([*words, np.zeros(0, U)])
+    chars = np.frombuffer(b"".join(pieces), np.uint8).astype(U)
+    char_piece = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+    with np.errstate(over="ignore"):
+        pair = mix(flat[:-1] * U(0x9E3779B97F4A7C15) + flat[1:])
+        gram = mix((chars[:-2] << U(16) | chars[1:-1] << U(8) | chars[2:]) + U(1))
+    near = piece[:-1] == piece[1:]
+    whole = char_piece[:-2] == char_piece[2:]
+    return np.hstack([
+        add(own, flat % U(WORD_SLOTS), WORD_SLOTS), add(own[:-1][near], pair[near] % U(PAIR_SLOTS), PAIR_SLOTS),
+        add(np.asarray(owners)[char_piece[:-2][whole]], gram[whole] % U(GRAM_SLOTS), GRAM_SLOTS),
+    ])
+
+
+def vectors(texts: list) -> np.ndarray:
+    """(n, VECTOR) bytes: 255 times the root of the share of the text's words, pairs or trigrams that a slot has."""
+    out = np.zeros((len(texts), VECTOR), np.int64)
+    pieces: list[bytes] = []
+    owners: list[int] = []
+    held = 0
+
+    def flush() -> None:
+        first, last = owners[0], owners[-1] + 1
+        out[first:last] += counted(pieces, [o - first for o in owners], last - first)
+
+    for i, t in enumerate(texts):
+        for p in pieces_of(t):
+            pieces.append(p)
+            owners.append(i)
+            held += len(p)
+            if held >= BYTES_AT_ONCE:
+                flush()
+                pieces, owners, held = [], [], 0
+    if pieces:
+        flush()
+    shares, at = np.empty(out.shape), 0
+    for size in (WORD_SLOTS, PAIR_SLOTS, GRAM_SLOTS):
+        part = out[:, at : at + size]
+        shares[:, at : at + size] = np.sqrt(part / np.maximum(part.sum(1, keepdims=True), 1))
+        at += size
+    return np.rint(255 * shares).astype(np.uint8)
+
+
+@F.pandas_udf(T.BinaryType())
+def vector(text: pd.Series) -> pd.Series:
+    values = list(text)
+    return pd.Series([x.tobytes() for i in range(0, len(values), 500) for x in vectors(values[i : i + 500])], dtype=object)
+
+
+def rates() -> Column:
+    out = []
     for name in RATES:
         top = TOP.get(name, 1.0)
         value = F.least(rate(name), F.lit(top)) / F.lit(top)
-        out |= {name: value, f"{name}_root": F.sqrt(value)}
+        out += [value, F.sqrt(value)]
+    return F.array(*out)
+
+
+def slots(columns: list[str]) -> Column:
+    """The five slots of a row's metadata, numbered through."""
+    have = lambda c, kind: F.col(f"row.{c}").cast(kind) if c in columns else F.lit(None).cast(kind)
+    lang, source = F.coalesce(have("lang", "string"), F.lit("")), F.coalesce(have("source", "string"), F.lit(""))
+    chars = F.greatest(F.coalesce(have("n_chars", "double"), F.lit(0.0)), F.lit(0.0))
+    length = F.least(F.floor(F.log2(F.when(F.isnan(chars), 0.0).otherwise(chars) + 1)), F.lit(LENGTH_SLOTS - 1)).cast("int")
+    found = [
+        (F.pmod(F.xxhash64(lang), F.lit(LANG_SLOTS)), LANG_SLOTS), (F.pmod(F.xxhash64(source), F.lit(SOURCE_SLOTS)), SOURCE_SLOTS), (length, LENGTH_SLOTS),
+        (F.pmod(F.xxhash64(source, length), F.lit(CROSS_SLOTS)), CROSS_SLOTS), (F.pmod(F.xxhash64(lang, length), F.lit(CROSS_SLOTS)), CROSS_SLOTS),
+    ]
+    starts = np.cumsum([0, *(n for _, n in found)]).tolist()
+    return F.array(*((c + F.lit(at)).cast("int") for (c, _), at in zip(found, starts)))
+
+
+def features(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(row, rates, slots, v) of each row of `docs`: the row as a struct, and its two views."""
+    return with_statistics(docs, text).select("row", rates().alias("rates"), slots(docs.columns).alias("slots"), vector(F.col(f"row.{text}")).alias("v"))
+
+
+def content(rates: list, v: list) -> np.ndarray:
+    """(n, 2 * rates + VECTOR) inputs of the text view."""
+    found = np.frombuffer(b"".join(v), np.uint8).reshape(len(v), VECTOR).astype(np.float32) / np.float32(255)
+    return np.hstack([np.array(rates, np.float32).reshape(len(v), 2 * len(RATES)), found])
+
+
+def page(slots: list) -> np.ndarray:
+    out = np.zeros((len(slots), META), np.float32)
+    if len(slots):
+        np.put_along_axis(out, np.array(slots, np.int64), 1, 1)
     return out
 
 
-def meta_features() -> dict[str, Column]:
-    """Names of slots with the number of the slot that a row has."""
-    chars = F.log2(F.greatest(F.coalesce(F.col("n_chars").cast("double"), F.lit(0.0)), F.lit(0.0)) + 1)
-    return {
-        "lang": F.pmod(F.xxhash64(F.coalesce(F.col("lang").cast("string"), F.lit(""))), F.lit(LANG_SLOTS)).cast("int"),
-        "source": F.pmod(F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit(""))), F.lit(SOURCE_SLOTS)).cast("int"),
-        "length": F.least(F.floor(chars), F.lit(LENGTH_SLOTS - 1)).cast("int"),
-    }
+PENALTIES = (np.concatenate([np.full(2 * len(RATES), RATE_PENALTY), np.full(VECTOR, HASH_PENALTY)]), np.full(META, META_PENALTY))
 
 
-SLOTS = {"lang": LANG_SLOTS, "source": SOURCE_SLOTS, "length": LENGTH_SLOTS}
+# --- learning -------------------------------------------------------------------------------------------------
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 25) -> np.ndarray:
-    """Weights (the last is the constant) by Newton steps with an L2 penalty."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+def logistic(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, steps: int = 30) -> np.ndarray:
+    """Weights (the last is the constant) by Newton steps with L2 penalties; each step by conjugate gradients."""
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    squares = x * x
+    ridge = np.append(penalty, 1e-6)
     w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], penalty)
-    ridge[-1] = 1e-6
+
+    def loss(m: np.ndarray, w: np.ndarray) -> float:
+        return float(np.logaddexp(0, m).sum() - y @ m + ridge @ (w * w) / 2)
+
+    m = x @ w
+    now = loss(m, w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
-        w -= step
-        if np.abs(step).max() < 1e-7:
+        p = probability(m)
+        gradient = x.T @ (p - y) + ridge * w
+        curve = p * (1 - p) + 1e-9
+        scale = 1 / (curve @ squares + ridge)  # the diagonal, as the preconditioner
+        step, rest = np.zeros_like(w), gradient
+        z = scale * rest
+        way, before = z, rest @ z
+        start = before
+        if start < 1e-6 * max(1.0, now):
             break
+        for _ in range(60):
+            h = x.T @ (curve * (x @ way)) + ridge * way
+            a = before / (way @ h)
+            step = step + a * way
+            rest = rest - a * h
+            z = scale * rest
+            after = rest @ z
+            if after < 1e-4 * start:
+                break
+            way, before = z + after / before * way, after
+        moved, size = x @ step, 1.0
+        while size > 1e-4 and loss(m - size * moved, w - size * step) > now:
+            size /= 2
+        w, m = w - size * step, m - size * moved
+        now = loss(m, w)
     return w
 
 
@@ -72,116 +212,145 @@ def logits(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
+def probability(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
 @dataclass
-class Model:
-    """Linear weights of both views, their calibration (slope, constant) and the combination."""
+class View:
+    """Linear weights and their calibration (slope, constant): calibrated logits of inputs."""
+
+    weights: np.ndarray
+    slope: float
+    constant: float
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return self.slope * logits(x, self.weights) + self.constant
+
 
-    text: np.ndarray
-    meta: np.ndarray
-    calibration: tuple[np.ndarray, np.ndarray]
+@dataclass
+class Model:
+    text: View
+    meta: View
     vote: np.ndarray
     exchanged: tuple[int, int] = (0, 0)
 
-    def text_logit(self) -> Column:
-        a, b = self.calibration[0]
-        columns = list(text_features().values())
-        return _sum([F.lit(float(a * w)) * c for w, c in zip(self.text, columns)] + [F.lit(float(a * self.text[-1] + b))])
-
-    def meta_logit(self) -> Column:
-        a, b = self.calibration[1]
-        parts, at = [F.lit(float(a * self.meta[-1] + b))], 0
-        for name, slot in meta_features().items():
-            table = F.array(*(F.lit(float(a * w)) for w in self.meta[at : at + SLOTS[name]]))
-            parts.append(F.get(table, slot))
-            at += SLOTS[name]
-        return _sum(parts)
-
-
-def _sum(parts: list[Column]) -> Column:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
 
+@dataclass
+class Sure:
+    """A row of the pool that a view hands to the other one."""
 
-def sigmoid(x: Column) -> Column:
-    return 1 / (1 + F.exp(-F.greatest(F.least(x, F.lit(30.0)), F.lit(-30.0))))
+    number: int
+    x: np.ndarray
+    z: np.ndarray
+    label: int
 
 
-def samples(docs: DataFrame, labels: DataFrame, text: str, key: str, labelled: int, unlabelled: int) -> tuple:
-    """(text view, metadata view, label or -1, whether for calibration) of the bounded samples."""
-    own = (
-        labels.where(F.col("quality").isNotNull() & ~held_out(F.col(key)))
-        .select(F.col(key).alias("_k"), F.col("quality").cast("int").alias("_y"))
-        .orderBy(F.xxhash64("_k"), "_k").limit(labelled)
-    )
-    others = docs.select(F.col(key).alias("_k")).where(~held_out(F.col("_k"))).orderBy(F.xxhash64(F.lit(1), "_k"), "_k").limit(unlabelled)
-    chosen = own.unionByName(others.withColumn("_y", F.lit(-1))).groupBy("_k").agg(F.max("_y").alias("_y"))
-    have = [c for c in ("lang", "source", "n_chars") if c in docs.columns]
-    rows = docs.select(key, text, *have).join(F.broadcast(chosen), F.col(key) == F.col("_k"))
-    for c in {"lang", "source", "n_chars"} - set(have):
-        rows = rows.withColumn(c, F.lit(None).cast("string"))
-    calibration = F.crc32(F.concat(F.lit("c"), F.col(key).cast("string")).cast("binary")) % 4 == 0
-    content, page = text_features(), meta_features()
-    out = with_statistics(rows, text).select(
-        "_y", calibration.alias("_c"), F.xxhash64(key).alias("_order"), *(c.alias(n) for n, c in content.items()), *(c.alias(n) for n, c in page.items())
-    )
-    got = out.orderBy("_order").limit(labelled + unlabelled).collect()
-    x = np.array([[r[n] for n in content] for r in got], float).reshape(len(got), -1)
-    z = np.zeros((len(got), sum(SLOTS.values())))
-    for i, r in enumerate(got):
-        at = 0
-        for n, size in SLOTS.items():
-            z[i, at + r[n]] = 1
-            at += size
-    return x, z, np.array([r["_y"] for r in got], int), np.array([r["_c"] for r in got], bool)
-
-
-def train(x: np.ndarray, z: np.ndarray, y: np.ndarray, calibration: np.ndarray, rounds: int = ROUNDS) -> Model | float:
-    """The model, or the share of good labels if there is nothing to learn."""
-    known = y >= 0
-    fit, check, pool = known & ~calibration, known & calibration, ~known
-    if min((y[fit] == 0).sum(), (y[fit] == 1).sum(), (y[check] == 0).sum(), (y[check] == 1).sum()) < 2:
-        return float(y[known].mean()) if known.any() else 1.0
-    views, penalties = (x, z), (0.01, 1.0)
-    taught = [y.copy(), y.copy()]  # the labels that each view learns from
-    used = [fit.copy(), fit.copy()]
-
-    def fitted(v: int) -> tuple[np.ndarray, np.ndarray]:
-        w = logistic(views[v][used[v]], taught[v][used[v]], penalties[v])
-        return w, logistic(logits(views[v][check], w)[:, None], y[check], 1.0)
+#: Given both views and the numbers of rows that each has been given already, what each view hands over.
+Pool = Callable[[tuple[View, View], tuple[set[int], set[int]]], tuple[list[Sure], list[Sure]]]
+
+
+def train(x: np.ndarray, z: np.ndarray, y: np.ndarray, check: np.ndarray, pool: Pool, rounds: int = ROUNDS) -> Model | float:
+    """The model, or the share of good labels if there is nothing to learn. `check`: rows for calibration."""
+    own = ~check
+    if min((y[own] == 0).sum(), (y[own] == 1).sum(), (y[check] == 0).sum(), (y[check] == 1).sum()) < 2:
+        return float(y.mean()) if len(y) else 1.0
+    labelled = (x, z)
+    taught: tuple[list[Sure], list[Sure]] = ([], [])
+
+    def fitted(v: int) -> View:
+        more = [s.z if v else s.x for s in taught[v]]
+        inputs = np.vstack([labelled[v][own], *more])
+        w = logistic(inputs, np.concatenate([y[own], [s.label for s in taught[v]]]), PENALTIES[v])
+        slope, constant = logistic(logits(labelled[v][check], w)[:, None], y[check], np.ones(1))
+        return View(w, float(slope), float(constant))
 
     given = [0, 0]
     for _ in range(rounds):
+        used = tuple({s.number for s in rows} for rows in taught)
+        found = pool((fitted(0), fitted(1)), used)
+        for v in (0, 1):
+            taught[1 - v].extend(found[v])
+            given[v] += len(found[v])
+        if not any(found):
+            break
+    views = fitted(0), fitted(1)
+    both = np.clip(np.stack([views[0](x[check]), views[1](z[check])], 1), -12, 12)
+    return Model(*views, logistic(both, y[check], np.ones(2)), tuple(given))
+
+
+def best_rows(batch: pd.DataFrame, views: tuple[View, View], used: tuple[set[int], set[int]]) -> pd.DataFrame:
+    """Of some rows of the pool those that each view is surest of, for either label: at most EXCHANGED each."""
+    inputs = content(list(batch["rates"]), list(batch["v"])), page(list(batch["slots"]))
+    out = []
+    for v in (0, 1):
+        p = probability(views[v](inputs[v]))
+        free = ~batch["_row"].isin(used[1 - v]).to_numpy()
+        for label in (0, 1):
+            sure = p if label else 1 - p
+            mine = batch.assign(view=v, label=label, sure=sure)[free & (sure >= CONFIDENT)]
+            out.append(mine.sort_values(["sure", "_order", "_row"], ascending=[False, True, True]).head(EXCHANGED))
+    return pd.concat(out, ignore_index=True)
+
+
+def pool_of(rows: DataFrame) -> Pool:
+    """The pool over a written table of features: `rows` without a label."""
+
+    def choose(views: tuple[View, View], used: tuple[set[int], set[int]]) -> tuple[list[Sure], list[Sure]]:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = None
+            for batch in batches:
+                batch = best_rows(batch, views, used)
+                best = batch if best is None else pd.concat([best, batch], ignore_index=True)
+                best = best.sort_values(["sure", "_order", "_row"], ascending=[False, True, True]).groupby(["view", "label"]).head(EXCHANGED)
+            if best is not None:
+                yield best
+
+        kinds = "rates array<double>, slots array<int>, v binary, _row bigint, _order bigint"
+        found = durable(rows.select("rates", "slots", "v", "_row", "_order").mapInPandas(run, f"{kinds}, view int, label int, sure double"), "surest")
+        out: tuple[list[Sure], list[Sure]] = ([], [])
         for v in (0, 1):
-            w, c = fitted(v)
-            p = 1 / (1 + np.exp(-(c[0] * logits(views[v], w) + c[1])))
-            sure = np.where(pool & ~used[1 - v], np.maximum(p, 1 - p), 0)
             for label in (0, 1):
-                mine = np.where((p >= 0.5) == label, sure, 0)
-                best = np.argsort(-mine, kind="stable")[:EXCHANGED]
-                best = best[mine[best] >= CONFIDENT]
-                taught[1 - v][best], used[1 - v][best] = label, True
-                given[v] += len(best)
-    (w0, c0), (w1, c1) = fitted(0), fitted(1)
-    both = np.stack([c0[0] * logits(x[check], w0) + c0[1], c1[0] * logits(z[check], w1) + c1[1]], 1)
-    return Model(w0, w1, (c0, c1), logistic(np.clip(both, -12, 12), y[check], 1.0), (given[0], given[1]))
+                best = found.where((F.col("view") == v) & (F.col("label") == label)).orderBy(F.desc("sure"), "_order", "_row").limit(EXCHANGED).collect()
+                for r in best:
+                    out[v].append(Sure(r["_row"], content([r["rates"]], [bytes(r["v"])])[0], page([r["slots"]])[0], label))
+        return out
+
+    return choose
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", labelled: int = LABELLED_ROWS, unlabelled: int = UNLABELLED_ROWS) -> Model | float:
-    return train(*samples(docs, labels, text, key, labelled, unlabelled))
+def prepared(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", labelled: int = LABELLED_ROWS) -> DataFrame:
+    """A written table of the features of all rows (`row` has only the key), with the label of the labelled sample in `y`."""
+    chosen = (
+        labels.where(F.col("quality").isNotNull() & ~held_out(F.col(key)))
+        .select(F.col(key).alias("_k"), F.col("quality").cast("int").alias("y"))
+        .orderBy(F.xxhash64("_k"), "_k", "y").limit(labelled).dropDuplicates(["_k"])
+    )
+    have = [c for c in ("lang", "source", "n_chars") if c in docs.columns and c not in (key, text)]
+    found = features(docs.select(key, text, *have), text).withColumn("row", F.struct(f"row.{key}")).withColumn("_id", F.col(f"row.{key}"))
+    found = found.join(F.broadcast(chosen), F.col("_id") == F.col("_k"), "left").withColumn("_order", F.xxhash64("_id")).drop("_k")
+    return durable(numbered(found), "features")
 
 
-def score(docs: DataFrame, model: Model | float, text: str = "text") -> DataFrame:
-    """`docs` with p_text, p_meta, score (probability of good quality) and kept (score >= 0.5)."""
+def fit(rows: DataFrame, labelled: int = LABELLED_ROWS) -> Model | float:
+    """The model from a table of prepared()."""
+    check = F.crc32(F.concat(F.lit("c"), F.col("_id").cast("string")).cast("binary")) % 4 == 0
+    # A key repeats only where the table repeats it; the bound holds for the rows that are collected too.
+    got = rows.where("y is not null").orderBy("_order", "_row").limit(labelled).select("rates", "slots", "v", "y", F.coalesce(check, F.lit(False)).alias("c")).collect()
+    x, z = content([r["rates"] for r in got], [bytes(r["v"]) for r in got]), page([r["slots"] for r in got])
+    return train(x, z, np.array([r["y"] for r in got], int), np.array([r["c"] for r in got], bool), pool_of(rows.where("y is null")))
+
+
+def score(rows: DataFrame, model: Model | float) -> DataFrame:
+    """(row, p_text, p_meta, score, kept) of a table of features() or prepared(): score is the probability of good quality, kept it is at least 0.5."""
     if not isinstance(model, Model):
         same = F.lit(float(model))
-        return docs.withColumns({"p_text": same, "p_meta": same, "score": same}).withColumn("kept", F.col("score") >= 0.5)
-    out = docs
-    for c in {"lang", "source", "n_chars"} - set(docs.columns):
-        out = out.withColumn(c, F.lit(None).cast("string"))
-    out = with_statistics(out, text).withColumns({"_t": model.text_logit(), "_m": model.meta_logit()})
-    clip = lambda c: F.greatest(F.least(F.col(c), F.lit(12.0)), F.lit(-12.0))
-    a, b, c = (float(v) for v in model.vote)
-    out = out.withColumns({"p_text": sigmoid(F.col("_t")), "p_meta": sigmoid(F.col("_m")), "score": sigmoid(a * clip("_t") + b * clip("_m") + c)})
-    return out.withColumn("kept", F.col("score") >= 0.5).select(*docs.columns, "p_text", "p_meta", "score", "kept")
+        return rows.select("row", same.alias("p_text"), same.alias("p_meta"), same.alias("score"), (same >= 0.5).alias("kept"))
+
+    @F.pandas_udf("p_text double, p_meta double, score double")
+    def judged(rates: pd.Series, slots: pd.Series, v: pd.Series) -> pd.DataFrame:
+        both = np.stack([model.text(content(list(rates), list(v))), model.meta(page(list(slots)))], 1).astype(float)
+        return pd.DataFrame({"p_text": probability(both[:, 0]), "p_meta": probability(both[:, 1]), "score": probability(logits(np.clip(both, -12, 12), model.vote))})
+
+    out = rows.select("row", judged("rates", "slots", "v").alias("j"))
+    return out.select("row", "j.p_text", "j.p_meta", "j.score", (F.col("j.score") >= 0.5).alias("kept"))

@@ -26,6 +26,32 @@ def test_statistics_by_brute_force(spark, awkward, empty):
     assert rulelist.judge(empty, []).count() == 0
 
 
+def test_repeated_words_where_hashes_meet(spark):
+    """Exact also if all windows have one hash, and in a text of a million words."""
+    r = np.random.default_rng(8)
+    texts = [" ".join(r.choice(list("abcd"), n)) for n in (1, 2, 3, 8, 20, 60) for _ in range(5)] + ["a b c d e f g h"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = F.split("text", " ")
+    hashes = lambda f: rulelist.repeated_words(words, F.transform(words, f))
+    for x in rows.select("text", hashes(lambda w: F.xxhash64(w)).alias("n"), hashes(lambda w: F.lit(5).cast("long")).alias("m")).collect():
+        ws = x.text.split()
+        grams = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
+        often = Counter(grams)
+        assert x.n == x.m == len({i + k for i, g in enumerate(grams) if often[g] > 1 for k in range(3)}), x.text
+    long = spark.range(1).select(F.concat(F.lit("one two three four five "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(1_000_000)), lambda x: x.cast("string")), " "), F.lit(" one two three four five")).alias("text"))
+    assert rulelist.with_statistics(long).select("s.n_repeat_words").first()[0] == 10
+
+
+def test_judged_rows_keep_their_columns(spark, awkward):
+    clashing = awkward.withColumns({c: F.lit("mine") for c in ("kept", "base_failed", "s", "_h", "row")})
+    got = rulelist.judge(clashing, [(rulelist.Condition("mean_word", True, 3.0),)]).collect()
+    assert all(r.row.rule == "clash" and r.row.kept == r.row.base_failed == r.row.s == r.row["_h"] == r.row.row == "mine" for r in got)
+    for r in got:
+        words = re.findall(r"[^\x20\x09-\x0D]+", r.row.text or "")
+        failed = len(words) < 50 or 100 * r.s.n_repeat_words > 50 * len(words)
+        assert r.base_failed == failed and r.kept == (not failed and sum(map(len, words)) / len(words) < 3.0)
+
+
 def test_rules_reject_bad_rows_only(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     rules = rulelist.learn(rulelist.labelled_statistics(docs, labels))
@@ -38,9 +64,63 @@ def test_cotraining(spark, awkward, empty):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     n = {(r.quality, r.kept): r["count"] for r in op3_cotraining(spark, SF).join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
     assert n.get((1, False), 0) <= 0.02 * n[1, True] and n.get((0, False), 0) >= 4 * n.get((0, True), 0)
-    model = cotrain.fit(docs, labels)
-    assert cotrain.score(awkward, model).count() == awkward.count() and cotrain.score(empty, model).count() == 0
-    assert cotrain.fit(docs, labels.where("1 = 0")) == 1.0
+    model = cotrain.fit(cotrain.prepared(docs, labels))
+    assert isinstance(model, cotrain.Model) and model.exchanged[0] > 0
+    clashing = awkward.withColumns({"score": F.lit("mine"), "row": F.lit(1), "v": F.lit(2)})
+    got = cotrain.score(cotrain.features(clashing), model)
+    assert got.select("row.*").columns == clashing.columns and {r.score for r in got.select("row.score").collect()} == {"mine"}
+    assert Counter(r.doc_id for r in got.select("row.doc_id").collect()) == Counter(r.doc_id for r in awkward.collect())
+    assert cotrain.score(cotrain.features(empty), model).count() == 0 and cotrain.score(cotrain.features(awkward), 0.25).where("kept").count() == 0
+    assert cotrain.fit(cotrain.prepared(docs, labels.where("1 = 0"))) == 1.0 and cotrain.fit(cotrain.prepared(empty, labels)) == 1.0
+
+
+def brute_vector(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+    hashes = [bagminhash.xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
+    mix = lambda n: int(bagminhash.mix(np.array([n % 2**64], np.uint64))[0])
+    folded = cotrain.fold(text)
+    parts = [Counter(h % cotrain.WORD_SLOTS for h in hashes), Counter(mix(a * 0x9E3779B97F4A7C15 + b) % cotrain.PAIR_SLOTS for a, b in zip(hashes, hashes[1:]))]
+    parts.append(Counter(mix((folded[i] << 16 | folded[i + 1] << 8 | folded[i + 2]) + 1) % cotrain.GRAM_SLOTS for i in range(len(folded) - 2)))
+    out = []
+    for counts, size in zip(parts, (cotrain.WORD_SLOTS, cotrain.PAIR_SLOTS, cotrain.GRAM_SLOTS)):
+        out += [round(255 * (counts[k] / max(1, counts.total())) ** 0.5) for k in range(size)]
+    return out
+
+
+def test_text_view_by_brute_force(monkeypatch):
+    texts = [None, "", "a", "ab", "One two, two THREE!", "é 漢字 " * 40, " ".join(f"w{i % 50}" for i in range(700)), "x" * 300]
+    for at_once in (1 << 20, 4_000):
+        monkeypatch.setattr(cotrain, "BYTES_AT_ONCE", at_once)
+        assert cotrain.vectors(texts).tolist() == [brute_vector(t) for t in texts]
+
+
+def test_exchange_by_brute_force(spark):
+    """What the tasks hand over is what sorting the whole pool gives."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = cotrain.prepared(docs, labels)
+    r = np.random.default_rng(2)
+    views = tuple(cotrain.View(r.normal(size=len(p) + 1), 1.0, 1.0) for p in cotrain.PENALTIES)
+    pool = rows.where("y is null")
+    all_ = pool.toPandas()
+    used = (set(all_["_row"][:50].tolist()), set(all_["_row"][25:75].tolist()))
+    got = cotrain.pool_of(pool.repartition(5))(views, used)
+    inputs = cotrain.content(list(all_["rates"]), [bytes(v) for v in all_["v"]]), cotrain.page(list(all_["slots"]))
+    for v in (0, 1):
+        p = cotrain.probability(views[v](inputs[v]))
+        want = []
+        for label in (0, 1):
+            sure = sorted((-x, o, n) for x, o, n in zip(p if label else 1 - p, all_["_order"], all_["_row"]) if x >= cotrain.CONFIDENT and n not in used[1 - v])
+            want += [(n, label) for _, _, n in sure[: cotrain.EXCHANGED]]
+        assert [(s.number, s.label) for s in got[v]] == want and want
+
+
+def test_logistic_is_at_the_minimum():
+    r = np.random.default_rng(5)
+    x = r.random((400, 30)) * (r.random((400, 30)) < 0.4)
+    y = (x @ r.normal(size=30) > 0.1).astype(float)
+    w = cotrain.logistic(x, y, np.full(30, 0.5))
+    p = cotrain.probability(cotrain.logits(x, w))
+    assert np.abs(x.T @ (p - y) + 0.5 * w[:-1]).max() < 0.05 and abs((p - y).sum()) < 0.05
 
 
 def test_toxicity(spark, awkward, empty):
@@ -265,7 +345,50 @@ def test_near_duplicates_by_brute_force(spark, awkward, empty):
     few = bagminhash.classes_of(awkward)
     assert few.count() == awkward.count() and bagminhash.classes_of(empty).count() == 0
     kept = bagminhash.deduplicated(awkward)
-    assert kept.columns == awkward.columns and sorted(x.doc_id or 0 for x in kept.collect()) == [0, 1, 4, 5, 7]
+    assert kept.columns == awkward.columns and sorted(x.doc_id or 0 for x in kept.collect()) == [0, 1, 4, 5, 7, 2**53 + 1, 2**53 + 3]
+
+
+def links_of(texts, similarity=0.8):
+    """All pairs of different multisets that are similar enough, by an index of the shingles."""
+    bags = [Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else []) for w in (re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) for t in texts)]
+    index = {}
+    for i, bag in enumerate(bags):
+        for s in bag:
+            index.setdefault(s, []).append(i)
+    out = set()
+    for i, bag in enumerate(bags):
+        for j in {j for s in bag for j in index[s] if j < i}:
+            if bags[j] != bag and sum((bag & bags[j]).values()) >= similarity * sum((bag | bags[j]).values()):
+                out.add((j, i))
+    return out
+
+
+def test_recall_of_links(spark):
+    """Banding and the estimate lose next to no pair at 0.8: the classes join what all pairs link."""
+    rows = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select("text").collect()]
+    r = np.random.default_rng(9)
+    for _ in range(60):  # 100 words and copies with one or two of them changed: similarities of about 0.66 to 0.9
+        base = [f"w{x}" for x in r.integers(0, 4_000, 100)]
+        rows.append(" ".join(base))
+        for _ in range(4):
+            own = list(base)
+            for k in r.integers(0, 100, r.integers(1, 3)):
+                own[k] = f"edit{r.integers(1e9)}"
+            rows.append(" ".join(own))
+    links = links_of(rows)
+    got = {x.doc_id: x.class_id for x in bagminhash.classes_of(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()}
+    found = sum(got[i] == got[j] for i, j in links)
+    assert len(links) > 100 and found >= 0.99 * len(links)
+
+
+def test_jaccard_by_counting():
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        x, y = np.sort(r.integers(0, 12, r.integers(1, 30), dtype=np.uint64)), np.sort(r.integers(0, 12, r.integers(1, 30), dtype=np.uint64))
+        a, b = Counter(x.tolist()), Counter(y.tolist())
+        want = sum((a & b).values()) / sum((a | b).values())
+        got = bagminhash.jaccard(x.tobytes(), y.tobytes())
+        assert got == want or want <= got < bagminhash.SIMILARITY
 
 
 def test_texts_that_share_an_id_or_have_none(spark):
