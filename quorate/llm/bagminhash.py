@@ -14,12 +14,13 @@ bucket. No bucket is collected or expanded into all its pairs:
 1. each member is compared with the bucket's pivot, the member that meets most others in all its buckets: linear in
    the members;
 2. verified links are joined into components; buckets with more than one component get a further pivot, a few times;
-3. buckets that still have more than one component are cut into blocks; pairs of blocks are compared by signature;
-   pairs of different components that agree in at least ESTIMATE of it are verified there, and only links are emitted.
-Verification is exact on the multisets (32-bit shingle hashes). Components of all verified links are the classes.
+3. in buckets that still have more than one component, the members outside the largest component are compared with all
+   members, block by block, by signature; pairs of different components that agree in at least ESTIMATE of it are
+   verified there, and only links are emitted.
+Verification is on the multisets of 64-bit shingle hashes. Components of all verified links are the classes.
 
 Defined results: null texts count as empty; all texts without a word form one class; repeated rows share a class;
-extra columns are ignored; an empty table gives no rows. The least doc_id of a class is its class_id; a row
+texts of any length are read whole; extra columns are ignored; an empty table gives no rows. The least doc_id of a class is its class_id; a row
 without id gets the class_id of its texts' class but can't name one (null if no row of the class has an id). If texts
 of several classes have the same id, these classes may have the same class_id; deduplicated() keeps a row of each.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorate.llm.bpe import Memo
-from quorate.llm.common import durable, join_on_hot_key
+from quorate.llm.common import arrow_rows, durable, join_on_hot_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -46,7 +47,7 @@ ESTIMATE = 0.66
 #: Times that the members of a bucket with several components are compared with a pivot.
 STAR_ROUNDS = 2
 #: Members of a bucket's block.
-BLOCK = 256
+BLOCK = 512
 #: Up to so many ids are broadcast to fetch their texts; beyond that they are joined.
 BROADCAST_IDS = 200_000
 #: Words that are signed at once.
@@ -71,11 +72,20 @@ def uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    words = (text or "").lower().encode("utf-8", "surrogatepass").translate(_FOLD).split()
+def fold(text: str | None) -> bytes:
+    """The text in lower case, with blanks for ASCII characters that are no letters or digits."""
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_FOLD)
+
+
+def word_hashes_of(folded: bytes) -> np.ndarray:
+    words = folded.split()
     return np.fromiter(map(_hashes.__getitem__, words), U, len(words))
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    return word_hashes_of(fold(text))
+
+
 def shingles(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, shingle hash) of all shingles of texts given as word hashes, texts in order."""
     sizes = np.array([len(w) for w in words], np.int64)
@@ -177,56 +187,47 @@ def _groups(texts: list) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 def signed(docs: DataFrame, text: str, key: str) -> DataFrame:
     """(doc, mark, print, n_shingles, bands, signature) of each row; mark: hash of the text, print: fingerprint of the multiset."""
-    kind = docs.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, marks, texts = batch[key].array, batch["_mark"].array, list(batch[text])
-            for first, words in _groups(texts):
-                n = len(words)
-                owner, h, weight = multisets(*shingles(words))
-                with np.errstate(over="ignore"):
-                    heavy = weight.astype(U)
-                    prints = []
-                    for salt in (U(11), U(12)):
-                        sums = np.zeros(n, U)
-                        np.add.at(sums, owner, mix(mix(h + salt) + heavy))
-                        prints.append(sums.view(np.int64))
-                signature = signatures(owner, h, weight, n)
-                sizes = np.bincount(owner, weight, n).astype(np.int64)
-                print_ = np.stack([sizes, *prints], 1)
-                yield pd.DataFrame({
-                    "doc": ids[first : first + n], "mark": marks[first : first + n], "print": [x.tobytes() for x in print_], "n_shingles": sizes,
-                    "bands": list(bands_of(signature)), "signature": [x.tobytes() for x in signature],
-                })
-
-    return docs.select(key, text, F.xxhash64(text).alias("_mark")).mapInPandas(run, f"doc {kind}, mark bigint, print binary, n_shingles bigint, bands array<bigint>, signature binary")
+    def sign(texts: list) -> list[list]:
+        out: list[list] = [[], [], [], []]
+        for _, words in _groups(texts):
+            n = len(words)
+            owner, h, weight = multisets(*shingles(words))
+            with np.errstate(over="ignore"):
+                heavy = weight.astype(U)
+                prints = []
+                for salt in (U(11), U(12)):
+                    sums = np.zeros(n, U)
+                    np.add.at(sums, owner, mix(mix(h + salt) + heavy))
+                    prints.append(sums.view(np.int64))
+            signature = signatures(owner, h, weight, n)
+            sizes = np.bincount(owner, weight, n).astype(np.int64)
+            print_ = np.stack([sizes, *prints], 1)
+            for column, values in zip(out, ([x.tobytes() for x in print_], sizes.tolist(), list(bands_of(signature)), [x.tobytes() for x in signature])):
+                column += values
+        return out
+
+    rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    return arrow_rows(rows, ["doc", "mark"], "text", sign, "print binary, n_shingles bigint, bands array<bigint>, signature binary")
 
 
 def bags(texts: DataFrame) -> DataFrame:
-    """(rep, bag) of a table (rep, text): the sorted 32-bit shingle hashes of each row, as often as they occur."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [np.sort((shingles([word_hashes(t)])[1] >> U(32)).astype(np.uint32)).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"rep": batch["rep"].array, "bag": out})
-
-    return texts.mapInPandas(run, "rep binary, bag binary")
+    """(rep, bag) of a table (rep, text): the sorted shingle hashes of each row, as often as they occur."""
+    return arrow_rows(texts, ["rep"], "text", lambda found: [[np.sort(shingles([word_hashes(t)])[1]).tobytes() for t in found]], "bag binary")
 
 
 def jaccard(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two sorted multisets."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    x, y = np.frombuffer(a, U), np.frombuffer(b, U)
     if not len(x) or not len(y):
         return 1.0 if len(x) == len(y) else 0.0
     if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
         return min(len(x), len(y)) / max(len(x), len(y))  # an upper bound that is too small already
-    # The k-th copy of a value in one bag meets the k-th in the other.
-    number = lambda v: np.arange(len(v)) - np.searchsorted(v, v)
-    p, q = x.astype(U) << U(32) | number(x).astype(U), y.astype(U) << U(32) | number(y).astype(U)
-    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-    both = int((q[at] == p).sum())
-    return both / (len(p) + len(q) - both)
+    # A value's copies in x meet its copies in y, the k-th the k-th.
+    copy = np.arange(len(x)) - np.searchsorted(x, x)
+    at = np.searchsorted(y, x) + copy
+    both = int((y[np.minimum(at, len(y) - 1)][at < len(y)] == x[at < len(y)]).sum())
+    return both / (len(x) + len(y) - both)
 
 
 def texts_at(docs: DataFrame, text: str, key: str, places: DataFrame) -> DataFrame:
@@ -272,19 +273,19 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def compare_blocks(group: pd.DataFrame, estimate: float, similarity: float) -> list[tuple]:
-    """Links between different components of one pair of blocks of a bucket.
+    """Links between different components of a block of the members on the left and one of those on the right.
 
-    A pair that shares several buckets is compared in the first of these only. Pairs whose signatures agree enough are
-    verified here, so that only links leave the task.
+    A pair that shares several buckets is compared in the first of these only, and two members that are both on the left
+    only once. Pairs whose signatures agree enough are verified here, so that only links leave the task.
     """
     least = int(np.ceil(estimate * COMPONENTS))
     s = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(len(group), COMPONENTS)
-    c, block, ids, bag = group["component"].to_numpy(), group["block"].to_numpy(), group["rep"].to_numpy(), group["bag"].to_numpy()
-    i, j, band = group["i"].iloc[0], group["j"].iloc[0], group["band"].iloc[0]
-    right = np.flatnonzero(block == j)
+    c, other, left, ids, bag = (group[x].to_numpy() for x in ("component", "other", "left", "rep", "bag"))
+    band = group["band"].iloc[0]
+    right = np.flatnonzero(~left)
     out = []
-    for x in np.flatnonzero(block == i):
-        ys = right[(c[right] != c[x]) & ((right > x) if i == j else True)]
+    for x in np.flatnonzero(left):
+        ys = right[(c[right] != c[x]) & (~other[right] | (ids[right] > ids[x]))]
         if len(ys):
             same = s[ys] == s[x]
             first = same.reshape(len(ys), BANDS, ROWS).all(2).argmax(1)
@@ -349,12 +350,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         placed = placed.join(pivots.select("bucket", "pivot"), "bucket", "left").join(parts.select("node", F.col("component").alias("_part")), F.col("rep") == F.col("node"), "left")
         used = F.col("used") | F.coalesce(F.col("rep") == F.col("pivot"), F.lit(False))
         placed = durable(placed.select("bucket", "band", "rep", "n", "degree", F.coalesce("_part", "rep").alias("component"), used.alias("used")), "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo != _hi").select("bucket")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    open_ = placed.join(mixed, "bucket").where("n > 2")  # a bucket of two was settled by its pivot
-    open_ = open_.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    open_ = open_.select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component")
-    open_ = durable(open_, "open")
+    sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("_size")).groupBy("bucket")
+    sizes = sizes.agg(F.max(F.struct("_size", "component")).alias("_most"), F.count(F.lit(1)).alias("_components"), F.sum("_size").alias("_n"))
+    # A bucket of two was settled by its pivot.
+    mixed = durable(sizes.where("_components > 1 and _n > 2").select("bucket", F.col("_most.component").alias("_largest"), (F.col("_n") - F.col("_most._size")).alias("_others")), "mixed")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    spot = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
+    open_ = placed.join(mixed, "bucket").select("bucket", "band", "rep", "component", (F.col("component") != F.col("_largest")).alias("other"), F.col("n").alias("_n"), "_others")
+    lefts = open_.where("other").withColumns({"left": F.lit(True), "i": spot(F.col("_others"))}).withColumn("j", F.explode(F.sequence(F.lit(0), blocks(F.col("_n")) - 1)))
+    rights = open_.withColumns({"left": F.lit(False), "j": spot(F.col("_n"))}).withColumn("i", F.explode(F.sequence(F.lit(0), blocks(F.col("_others")) - 1)))
+    open_ = durable(lefts.unionByName(rights).drop("_n", "_others"), "open")
     held = bags_of(open_.select("rep"), places, docs, text, key)
     open_ = open_.join(reps.select("rep", "signature").join(held, "rep"), "rep")
     open_ = open_.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
