@@ -1,7 +1,12 @@
 """A corpus pipeline: quality rules, quality classifier, near-duplicates, packing.
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, all but the last
-with the columns of documents. run() writes what each stage returns and reads it again for the next one.
+with the columns of documents, also columns whose names the operators use. run() writes what each stage returns and reads
+it again for the next one; a stage's intermediates and its input are deleted once its output is written.
+
+The trained stages learn from the labels and the documents as they are in `sf_dir`, so a stage's model doesn't depend on
+what the stages before it left. Null, empty, repeated and very long documents are treated as the operators' docstrings say; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quorate.llm import bagminhash, cotrain, packing, rulelist
-from quorate.llm.common import documents, durable, labels
+from quorate.llm.common import delete, documents, durable, labels, scratch
 
 #: The trained stages and the packing plan can't be said in SQL; tests compare them with brute force.
 ORACLE_SQL = None
@@ -18,17 +23,18 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep."""
-    rules = rulelist.learn(rulelist.labelled_statistics(docs, labels(spark, sf_dir)))
-    return rulelist.judge(docs, rules).where("kept").select(*docs.columns)
+    rules = rulelist.learn(rulelist.labelled_statistics(documents(spark, sf_dir), labels(spark, sf_dir)))
+    return rulelist.judge(docs, rules).where("kept").select("row.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier keeps."""
-    return cotrain.score(docs, cotrain.fit(docs, labels(spark, sf_dir))).where("kept").select(*docs.columns)
+    """Documents that the co-trained classifier keeps; the rules have taken most bad rows, so it is fitted on all documents."""
+    model = cotrain.fit(cotrain.prepared(documents(spark, sf_dir), labels(spark, sf_dir)))
+    return cotrain.score(cotrain.features(docs), model).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: that of the least id."""
+    """One document of each class of near-duplicates: that of the least id, then of the least hash of the text."""
     return bagminhash.deduplicated(docs).select(*docs.columns)
 
 
@@ -46,7 +52,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), []
     for i, (_, stage) in enumerate(STAGES):
-        docs = durable(stage(spark, docs, sf_dir), f"stage{i}")
+        with scratch(spark) as made:
+            docs = durable(stage(spark, docs, sf_dir), f"stage{i}")
+            output = [made.pop()]  # written last
+        delete(spark, before)
+        before = output
     return docs
