@@ -85,7 +85,7 @@ def arrow_rows(df: DataFrame, keep: list[str], source: str, make: Callable[[list
                 out = make(part.column(len(keep)).to_pylist())
                 kept = [part.column(i) for i in range(len(keep))]
                 if many:
-                    origin = pa.array(out.pop(), pa.int64())
+                    origin = pa.array(out.pop() if out else [], pa.int64())
                     kept = [k.take(origin) for k in kept]
                 yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, kind) for x, kind in zip(out, kinds, strict=True))], names)
 

@@ -8,12 +8,15 @@ over a window, attention weighs its states, a linear layer gives its logit. A do
 largest logit of all its windows.
 
 The network is fitted on the driver from at most LABELLED_ROWS labelled rows (a documented bound; the least hashes
-of the id) outside the held-out fifth. Toxic documents have toxic and harmless windows, so after a first phase
+of the id) outside the held-out fifth. These are cut into windows where they lie; the driver gets at most ROW_WINDOWS of
+a row and LABELLED_WINDOWS in all (documented bounds as well), so its memory doesn't depend on the texts' lengths. Toxic
+documents have toxic and harmless windows, so after a first phase
 training takes the windows that the network itself finds most toxic in them (multiple-instance learning), and
 the harmless windows that it finds hardest. Inputs are texts only; labels, language, source and id are not.
 
 Defined results: null and empty texts, and texts without a word, score 0. Repeated rows are scored each. Without
-labels of both classes every score is 0. An empty table gives no rows.
+labels of both classes every score is 0. An empty table gives no rows; texts of any length are scored whole; other
+columns than key and text are ignored.
 """
 
 from __future__ import annotations
@@ -21,16 +24,16 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import held_out
+from quorate.llm.common import arrow_rows, held_out
 
 LABELLED_ROWS = 3_000
+ROW_WINDOWS, LABELLED_WINDOWS = 256, 60_000
 WINDOW, STEP = 64, 32
 WORD_SLOTS, GRAM_SLOTS, WIDTH, HIDDEN, ATTENTION = 4096, 16384, 16, 8, 8
 GRAMS = (3, 4, 5, 6)
@@ -59,6 +62,15 @@ def window_starts(n: int) -> list[int]:
     return list(range(0, max(n - WINDOW, 0) + STEP, STEP)) if n > WINDOW else [0] if n else []
 
 
+def windows_of(text: str | None, most: int = ROW_WINDOWS) -> list[tuple[int, str]]:
+    """(number, words) of a text's windows; of more than `most` those with the least hashes."""
+    words = words_of(text)
+    found = [(i, " ".join(words[s : s + WINDOW])) for i, s in enumerate(window_starts(len(words)))]
+    if len(found) > most:
+        found = sorted(sorted(found, key=lambda w: (zlib.crc32(w[1].encode("utf-8", "surrogatepass")), w[0]))[:most])
+    return found
+
+
 def grams_of(word: str) -> list[int]:
     marked = f"^{word}$".encode("utf-32-le", "surrogatepass")  # four bytes a character
     n = len(marked) // 4
@@ -142,7 +154,7 @@ def pooled(states: np.ndarray, mask: np.ndarray, p: Parameters) -> tuple:
 class Vocabulary:
     """The training sample's distinct words with their slots."""
 
-    def __init__(self, texts: list[list[str]]):
+    def __init__(self, texts: Iterable[list[str]]):
         self.number: dict[str, int] = {}
         for ws in texts:
             for w in ws:
@@ -326,27 +338,27 @@ def calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 0.05), float(w[1])
 
 
-def train(texts: list[str | None], toxic: list[int], steps: int = STEPS, seed: int = 7) -> Network | None:
-    docs = [(words_of(t), int(y)) for t, y in zip(texts, toxic)]
-    docs = [(ws, y) for ws, y in docs if ws]
-    if len({y for _, y in docs}) < 2:
+def train(rows: list[tuple[object, str, int]], steps: int = STEPS, seed: int = 7) -> Network | None:
+    """The network from windows: (document, words, label), a document's windows one after the other."""
+    vocabulary = Vocabulary(words.split(" ") for _, words, _ in rows)
+    every = np.full((len(rows), WINDOW), -1, np.int32)
+    owners, marks = np.zeros(len(rows), np.int64), []
+    before = None
+    for i, (doc, words, y) in enumerate(rows):
+        own = [vocabulary.number[w] for w in words.split(" ")]
+        every[i, : len(own)] = own
+        if doc != before:
+            before = doc
+            marks.append(int(y))
+        owners[i] = len(marks) - 1
+    del rows  # the words are numbers by now
+    label = np.array(marks)
+    if len(set(marks)) < 2:
         return None
-    check = [d for i, d in enumerate(docs) if i % 5 == 0]
-    docs = [d for i, d in enumerate(docs) if i % 5]
-    vocabulary = Vocabulary([ws for ws, _ in docs])
-    windows, owner = [], []
-    for i, (ws, _) in enumerate(docs):
-        numbers = np.array([vocabulary.number[w] for w in ws])
-        for s in window_starts(len(ws)):
-            row = np.full(WINDOW, -1, np.int32)
-            own = numbers[s : s + WINDOW]
-            row[: len(own)] = own
-            windows.append(row)
-            owner.append(i)
-    windows, owner = np.array(windows), np.array(owner)
-    label = np.array([y for _, y in docs])[owner]
-    n_docs = len(docs)
-    del docs  # the words are numbers by now
+    check = owners % 5 == 0
+    windows, owner = every[~check], owners[~check]
+    n_docs = len(marks)
+    label = label[owner]
     bad, good = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     if not len(bad) or not len(good):
         return None
@@ -377,9 +389,12 @@ def train(texts: list[str | None], toxic: list[int], steps: int = STEPS, seed: i
             second[k] += 0.01 * (g * g - second[k])
             v -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)
     net = Network(p)
-    logits = net.document_logits([ws for ws, _ in check])
-    y = np.array([y for _, y in check], float)
-    net.calibration = calibrated(logits.astype(float), y) if 0 < y.sum() < len(y) else (1.0, 0.0)
+    number = np.concatenate([net.ids(list(vocabulary.number)), [0]])
+    most = np.full(n_docs, -np.inf)
+    np.maximum.at(most, owners[check], net.window_logits(number[every[check]]))
+    apart = np.isfinite(most)
+    y = np.array(marks, float)[apart]
+    net.calibration = calibrated(most[apart], y) if 0 < y.sum() < len(y) else (1.0, 0.0)
     net.forget()
     return net
 
@@ -391,21 +406,24 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         .select(F.col(key).alias("_k"), F.col("toxic").alias("_y"))
         .orderBy(F.xxhash64("_k"), "_k", "_y").limit(most).dropDuplicates(["_k"])
     )
-    rows = docs.select(F.col(key).alias("_d"), text).join(F.broadcast(chosen), F.col("_d") == F.col("_k"))
-    rows = rows.orderBy(F.xxhash64("_d"), "_d", text).limit(most).select(text, "_y").collect()
-    return train([r[text] for r in rows], [r["_y"] for r in rows])
+    rows = docs.select(F.col(key).alias("_d"), F.col(text).alias("_t")).join(F.broadcast(chosen), F.col("_d") == F.col("_k"))
+    rows = rows.select(F.xxhash64("_d").alias("_o"), F.struct("_d", F.xxhash64("_t").alias("t")).alias("_doc"), "_y", "_t")
+
+    def cut(texts: list) -> list[list]:
+        found = [(*w, row) for row, t in enumerate(texts) for w in windows_of(t)]
+        return [list(x) for x in zip(*found)] or [[], [], []]
+
+    windows = arrow_rows(rows, ["_o", "_doc", "_y"], "_t", cut, "number bigint, words string", many=True)
+    got = windows.orderBy("_o", "_doc", "number").limit(LABELLED_WINDOWS).select("_doc", "words", "_y").collect()
+    return train([(r["_doc"], r["words"], r["_y"]) for r in got])
 
 
 def score_documents(docs: DataFrame, network: Network | None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, score) of each row."""
-    kind = docs.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(network)  # of fixed size
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(texts: list) -> list[list]:
         net = sent.value
-        for batch in batches:
-            for i in range(0, len(batch), 1_000):
-                part = batch.iloc[i : i + 1_000]
-                yield pd.DataFrame({key: part[key], "score": net.scores(list(part[text])) if net else np.zeros(len(part))})
+        return [net.scores(texts).tolist() if net else [0.0] * len(texts)]
 
-    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, score double")
+    return arrow_rows(docs, [key], text, score, "score double")

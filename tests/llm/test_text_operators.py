@@ -130,9 +130,48 @@ def test_toxicity(spark, awkward, empty):
     net = toxicity.Network(toxicity.fresh())
     got = toxicity.score_documents(awkward, net).collect()
     assert len(got) == awkward.count() and all(0 <= r.score <= 1 for r in got) and sum(r.score == 0 for r in got) == 3
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in awkward.collect())
+    assert {r.score for r in toxicity.score_documents(awkward, None).collect()} == {0.0}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert toxicity.fit(docs, labels.where("1 = 0")) is None and toxicity.fit(empty, labels) is None
     assert toxicity.score_documents(empty, net).count() == 0
 
 
+def brute_score(net, text):
+    """The largest logit of all windows, cell by cell, calibrated."""
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    words, h, best = toxicity.words_of(text), toxicity.HIDDEN, -np.inf
+    for s in toxicity.window_starts(len(words)):
+        inputs = [p["words"][toxicity.slot_of(w)] + np.mean([p["grams"][g] for g in toxicity.grams_of(w)], axis=0) for w in words[s : s + toxicity.WINDOW]]
+        both = []
+        for side in "fb":
+            state, states = np.zeros(h), []
+            for x in inputs if side == "f" else inputs[::-1]:
+                g, u = x @ p[f"in_{side}"] + p[f"bias_{side}"], state @ p[f"re_{side}"]
+                z, r = 1 / (1 + np.exp(-(g + u)[:h])), 1 / (1 + np.exp(-(g + u)[h : 2 * h]))
+                state = state + (1 - z) * (np.tanh(g[2 * h :] + r * u[2 * h :]) - state)
+                states.append(state)
+            both.append(states if side == "f" else states[::-1])
+        states = np.hstack(both)
+        weight = np.exp(np.tanh(states @ p["att"] + p["att_bias"]) @ p["query"])
+        best = max(best, (weight / weight.sum()) @ states @ p["out"] + p["out_bias"][0])
+    a, b = net.calibration
+    return 0.0 if best == -np.inf else 1 / (1 + np.exp(-(a * np.clip(best, -12, 12) + b)))
+
+
+def test_scores_by_brute_force(spark):
+    net = toxicity.Network(toxicity.fresh(), (1.3, -0.2))
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(25).collect()] + [None, "", "?!", "one", "漢" * 150 + " end"]
+    assert net.scores(texts) == pytest.approx([brute_score(net, t) for t in texts], abs=1e-4)
+
+
+def test_windows_for_training_are_bounded():
+    text = " ".join(f"w{i}" for i in range(20_000))
+    found = toxicity.windows_of(text, 50)
+    assert len(found) == 50 and found == sorted(set(found)) and set(found) < set(toxicity.windows_of(text, 10**6))
+    assert toxicity.windows_of(None) == [] and toxicity.windows_of("a b") == [(0, "a b")]
+
+
 def test_windows_cover_the_text():
     for n in (1, 63, 64, 65, 96, 97, 1_000):
         seen = {i for s in toxicity.window_starts(n) for i in range(s, min(n, s + toxicity.WINDOW))}
