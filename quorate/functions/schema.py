@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -205,3 +205,14 @@ def evolved(registered: dict[str, TableSpec], declared: TableSpec) -> dict[str,
     if key not in registered:
         raise KeyError(f"table {key} isn't registered")
     return {**registered, key: declared}
+
+
+def with_cdc(registered: dict[str, TableSpec], name: str, on: bool) -> dict[str, TableSpec]:
+    """The registry with change capture of the table `keyspace.name` switched on or off; an unknown table is an error."""
+    if name not in registered:
+        raise KeyError(f"table {name} isn't registered")
+    return {**registered, name: replace(registered[name], cdc=on)}
+
+
+def cdc_tables(registered: dict[str, TableSpec]) -> list[str]:
+    return sorted(n for n, spec in registered.items() if spec.cdc)

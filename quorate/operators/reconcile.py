@@ -15,17 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def tie_key(value: Column, kind: T.DataType) -> Column:
+def tie_key(value: Column, kind: T.DataType) -> Column | None:
     """What decides between equal write times before the value does: with it, the order of the serialised bytes.
 
     Big-endian two's complement puts negative numbers above the others; floats likewise by their bits. Maps have no
-    order in Spark: their text decides. Other values decide themselves.
+    order in Spark: their text decides. Other values decide themselves (None).
     """
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.struct((value < 0).alias("negative"), F.abs(value).alias("size"))
     if isinstance(kind, T.IntegralType):
         return value < 0
-    return F.lit(False) if orderable(kind) else F.to_json(value)
+    return None if orderable(kind) else F.to_json(value)
 
 
 def orderable(kind: T.DataType) -> bool:
@@ -38,13 +38,17 @@ def orderable(kind: T.DataType) -> bool:
 
 @dataclass(frozen=True)
 class Cell:
-    """A value column of row versions: when a version sets it, when that is a deletion, when it expires."""
+    """A value column of row versions: when a version sets it, when that is a deletion, when it expires.
+
+    `dropped_at`: the column was dropped then and declared again, so what was written up to that time doesn't count.
+    """
 
     name: str
     value: Column
     is_set: Column | None = None
     is_dead: Column | None = None
     expires_at: Column | None = None
+    dropped_at: Column | None = None
 
 
 def merge_rows(versions: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -54,41 +58,75 @@ def merge_rows(versions: DataFrame, keys: Sequence[str], order: Sequence[str], c
     return versions.groupBy(*keys).agg(best).select(*keys, *(F.col(f"_best.{c}").alias(c) for c in columns))
 
 
-def merge_cells(versions: DataFrame, keys: Sequence[str], ts: str, cells: Sequence[Cell], now: Column | None = None, keep_times: bool = False) -> DataFrame:
-    """The latest live cell of each column and key; with keep_times also `<name>_ts`, the winner's write time."""
+def merge_cells(versions: DataFrame, keys: Sequence[str], ts: str, cells: Sequence[Cell], now: Column | None = None, keep_times: bool = False, keep_dead: bool = False) -> DataFrame:
+    """The latest live cell of each column and key; with keep_times also `<name>_ts`, the winner's write time.
+
+    With keep_dead a dead or expired winner stays, and `<name>_dead` says so: for purged(). The struct that is merged has only
+    the fields that can differ.
+    """
     aggregates = []
     kinds = [f.dataType for f in versions.select(*(c.value.alias(c.name) for c in cells)).schema] if cells else []
     for c, kind in zip(cells, kinds):
-        dead = F.coalesce(c.is_dead, F.lit(False)) if c.is_dead is not None else F.lit(False)
-        ends = c.expires_at if c.expires_at is not None else F.lit(None).cast("timestamp_ntz")
-        won = F.struct(F.col(ts).alias("ts"), dead.alias("dead"), tie_key(c.value, kind).alias("tie"), c.value.alias("value"), ends.alias("ends"))
-        won = F.when(c.is_set, won) if c.is_set is not None else won
+        order = [F.col(ts).alias("ts")]
+        if c.is_dead is not None:
+            order.append(F.coalesce(c.is_dead, F.lit(False)).alias("dead"))
+        if (tie := tie_key(c.value, kind)) is not None:
+            order.append(tie.alias("tie"))
+        ends = [] if c.expires_at is None else [c.expires_at.alias("ends")]
+        won = F.struct(*order, c.value.alias("value"), *ends)
+        is_set = c.is_set
+        if c.dropped_at is not None:
+            later = F.col(ts) > c.dropped_at
+            is_set = later if is_set is None else is_set & later
+        won = F.when(is_set, won) if is_set is not None else won
         if orderable(kind):
             best = F.max(won)
         else:
-            best = F.max_by(won, F.when(won.isNotNull(), F.struct(won["ts"], won["dead"], won["tie"], won["ends"])))
+            by = F.struct(*order, *ends)
+            best = F.max_by(won, F.when(is_set, by) if is_set is not None else by)
         aggregates.append(best.alias(f"_{c.name}"))
     out = versions.groupBy(*keys).agg(*aggregates) if aggregates else versions.select(*keys).distinct()
     columns = []
     for c in cells:
         won = F.col(f"_{c.name}")
-        live = won.isNotNull() & ~won["dead"]
-        if now is not None:
-            live = live & (won["ends"].isNull() | (won["ends"] > now))
-        columns.append(F.when(live, won["value"]).alias(c.name))
+        dead = F.lit(False)
+        if c.is_dead is not None:
+            dead = won["dead"]
+        if now is not None and c.expires_at is not None:
+            dead = dead | F.coalesce(won["ends"] <= now, F.lit(False))
+        dead = won.isNull() | dead  # null: no version sets the column
+        columns.append((won["value"] if keep_dead else F.when(~dead, won["value"])).alias(c.name))
         if keep_times:
-            columns.append(F.when(live, won["ts"]).alias(f"{c.name}_ts"))
+            columns.append((won["ts"] if keep_dead else F.when(~dead, won["ts"])).alias(f"{c.name}_ts"))
+        if keep_dead:
+            columns.append(dead.alias(f"{c.name}_dead"))
     return out.select(*keys, *columns)
 
 
-def visible_rows(merged: DataFrame, cells: Sequence[str], keys_only: bool = False) -> DataFrame:
-    """Rows with a live value cell; a read of keys only keeps rows without one as well."""
-    if keys_only or not cells:
-        return merged
+def purged(merged: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """What merge_cells(keep_dead=True) left, without dead cells and rows that have no other."""
+    alive = {n: F.when(~F.col(f"{n}_dead"), F.col(n)) for n in cells}
+    return guarded(visible_rows(merged.withColumns(alive), cells), F.array(*(F.col(f"{n}_dead") & F.col(n).isNotNull() for n in cells))).drop(*(f"{n}_dead" for n in cells))
+
+
+def guarded(rows: DataFrame, deletions: Column) -> DataFrame:
+    """The rows, or an error if one of the array's flags is true: no deletion may be left after a merge."""
+    left = F.array_contains(deletions, True)
+    return rows.where(F.when(left, F.raise_error(F.lit("a deletion is left after the merge"))).otherwise(F.lit(True)))
+
+
+def visible_rows(merged: DataFrame, cells: Sequence[str], keys_only: bool = False, liveness: str | None = None) -> DataFrame:
+    """Rows with a live value cell; a read of keys only keeps rows without one as well.
+
+    `liveness`: a boolean column that is true where the row itself lives (an insert that isn't deleted or expired). A read of
+    keys only then keeps live rows and rows with a live cell; a read of values doesn't look at it, so updated rows stay.
+    """
     alive = F.lit(False)
     for c in cells:
         alive = alive | F.col(c).isNotNull()
-    return merged.where(alive)
+    if keys_only and liveness:
+        return merged.where(alive | F.coalesce(F.col(liveness), F.lit(False)))
+    return merged if keys_only or not cells else merged.where(alive)
 
 
 def without_deleted(versions: DataFrame, deletions: DataFrame, on: Sequence[str], ts: str, deleted_at: str) -> DataFrame:
@@ -157,11 +195,11 @@ def without_deletions(versions: DataFrame, deletions: DataFrame, partition: Sequ
     return v.join(d, hit & inside([F.col(f"v.{c}") for c in clustering], side("lo"), side("hi"), closed("lo"), closed("hi")), "left_anti")
 
 
-def merge_elements(elements: DataFrame, keys: Sequence[str], path: str, ts: str, value: str, dead: Column | None = None) -> DataFrame:
-    """Unfrozen collections: the latest cell of each element; dead elements go after they have won."""
-    best = F.max(F.struct(F.col(ts).alias("ts"), (dead if dead is not None else F.lit(False)).alias("dead"), F.col(value).alias("value"))).alias("_b")
-    won = elements.groupBy(*keys, path).agg(best).where(~F.col("_b.dead"))
-    return won.select(*keys, path, F.col("_b.value").alias(value), F.col("_b.ts").alias(ts))
+def merge_elements(elements: DataFrame, keys: Sequence[str], path: str, ts: str, value: str, dead: Column | None = None, expires_at: Column | None = None, now: Column | None = None) -> DataFrame:
+    """Unfrozen collections: the latest cell of each element, by the rules of merge_cells(); dead elements go after they have won."""
+    cell = Cell("_element", F.col(value), None, dead, expires_at)
+    won = merge_cells(elements, [*keys, path], ts, [cell], now, keep_times=True).where("_element is not null")
+    return won.select(*keys, path, F.col("_element").alias(value), F.col("_element_ts").alias(ts))
 
 
 def as_map(elements: DataFrame, keys: Sequence[str], path: str, value: str, name: str) -> DataFrame:

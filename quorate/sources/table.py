@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quorate.functions import codec, tokens
 from quorate.functions.schema import Field, TableSpec, parse_table
 from quorate.operators.reconcile import Cell, last_modified, merge_cells, visible_rows, without_deletions
 
@@ -46,18 +49,38 @@ def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | No
 
     `columns` reads only some value and static columns: a row is then visible if one of these is live, and always if
     none of them is a value column.
+
+    Cells expire against `now`: the argument, else option `readTime`, else the time of the call, frozen. Option
+    `expiresColumn` names the expiry.
+
+    The schema is that of one file, with the declared columns that it lacks; so no other file's footer is read for it. Option
+    `mergeSchema` reads all footers, for files of which only some have the columns that this reader adds (unset, `<name>_put`).
     """
     spec = spec_from_options(options)
     o = {k.lower(): v for k, v in options.items()}
-    read = lambda key: spark.read.option("mergeSchema", "true").parquet(*(d for d in o[key].split(",") if d))
-    versions = read("dirs").withColumnRenamed(o.get("writetimecolumn", WRITE_TIME), WRITE_TIME)
+    declared = {f.name: f.type for f in spec.fields}
+
+    def read(key: str, more: Mapping[str, T.DataType]) -> DataFrame:
+        paths = [d for d in o[key].split(",") if d]
+        if strict_bool(o.get("mergeschema", "false")):
+            return spark.read.option("mergeSchema", "true").parquet(*paths)
+        one = spark.read.parquet(*paths).schema
+        missing = [T.StructField(n, kind) for n, kind in more.items() if n not in one.names]
+        return spark.read.schema(T.StructType([*one, *missing])).parquet(*paths)
+
+    versions = read("dirs", declared)
+    if "expirescolumn" in o:
+        versions = versions.withColumn("expires_at", F.col(o["expirescolumn"]))
+    versions = versions.withColumnRenamed(o.get("writetimecolumn", WRITE_TIME), WRITE_TIME)
+    if now is None and "expires_at" in versions.columns:
+        now = read_time(o.get("readtime")).cast(versions.schema["expires_at"].dataType)
     wanted = lambda names: [n for n in names if columns is None or n in columns]
     values, statics = wanted(spec.values), wanted(spec.statics)
     have = set(versions.columns)
     keys = spec.partition_keys + spec.clustering_keys
     for_statics = versions
     if o.get("deletiondirs"):
-        deletions = read("deletiondirs")
+        deletions = read("deletiondirs", {})
         for_rows = without_deletions(versions, deletions, spec.partition_keys, spec.clustering_keys, WRITE_TIME)
         for_statics = without_deletions(versions, deletions.where(whole_partition(deletions, spec)), spec.partition_keys, [], WRITE_TIME) if statics else versions
         versions = for_rows
@@ -85,6 +108,22 @@ def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | No
     return rows.select(*(f.name for f in spec.fields if f.name in rows.columns), *(x for x in spec.features if x in rows.columns))
 
 
+def read_time(text: str | None = None) -> Column:
+    """A time as a literal: the given one (UTC), else now."""
+    at = dt.datetime.fromisoformat(text) if text else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def register_table(spark: SparkSession, name: str, options: Mapping[str, str]) -> None:
+    """The table's current rows as a view for SQL; filters and column selection of queries reach the scan."""
+    read_table(spark, options).createOrReplaceTempView(name)
+
+
+def save_clustered(versions: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    """Versions as a table bucketed by their partition keys: merging, joining and aggregating by keys that include these then needs no shuffle."""
+    versions.write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(name)
+
+
 def whole_partition(deletions: DataFrame, spec: TableSpec) -> Column:
     out = F.lit(True)
     for c in spec.clustering_keys:
@@ -120,33 +159,62 @@ def merged_collection(versions: DataFrame, keys: Sequence[str], field: Field, no
     return out.select(*keys, whole.cast(field.type).alias(name), f"{name}_ts")
 
 
-def key_filters(spec: TableSpec, restricted: Mapping[str, Sequence]) -> list[tuple]:
-    """All partition keys that = and IN filters name, if they restrict every partition key column; else none."""
+def key_filters(spec: TableSpec, restricted: Mapping[str, Sequence]) -> list[tuple] | None:
+    """All partition keys that = and IN filters name; None if they don't restrict every partition key column. An empty IN names none."""
     if any(k not in restricted for k in spec.partition_keys):
-        return []
+        return None
     return list(product(*(restricted[k] for k in spec.partition_keys)))
 
 
 def with_key_filter(versions: DataFrame, spec: TableSpec, restricted: Mapping[str, Sequence]) -> DataFrame:
-    """Versions of the named partition keys only, as predicates that reach the scan."""
-    if not key_filters(spec, restricted):
+    """Versions of the named partition keys only, as predicates that reach the scan; no row if an IN is empty."""
+    keys = key_filters(spec, restricted)
+    if keys is None:
         return versions
+    if not keys:
+        return versions.where(F.lit(False))
     for k in spec.partition_keys:
         versions = versions.where(F.col(k).isin(list(restricted[k])))
     return versions
 
 
+def keys_in_range(key: str, values: Sequence[int], start: int, end: int) -> Column:
+    """The bigint keys among `values` whose tokens lie in (start, end], chosen on the driver: an IN that reaches the scan, or an empty scan."""
+    inside = [v for v in values if start < tokens.murmur3_token(codec.encode(v, "bigint")) <= end]
+    return F.col(key).isin(inside) if inside else F.lit(False)
+
+
+def partition_of(versions: DataFrame, kinds: Mapping[str, str], key: Mapping[str, object]) -> DataFrame:
+    """Versions of one partition: equal values, which reach the scan, and then equal encoded bytes.
+
+    Values can be equal and their bytes differ (0.0 and -0.0, text in several forms): the bytes decide.
+    """
+    encoded = [codec.encode(key[k], kind) for k, kind in kinds.items()]
+    data = encoded[0] if len(encoded) == 1 else b"".join(len(e).to_bytes(2, "big") + e + b"\0" for e in encoded)
+    for k in kinds:
+        versions = versions.where(F.col(k) == F.lit(key[k]))
+    return versions.where(tokens.composite_key(*(codec.encode_native(F.col(k), kind) for k, kind in kinds.items())) == F.lit(bytearray(data)))
+
+
 def partition_sizes(versions: DataFrame, keys: Sequence[str], file: str, size: Column, compressed: Column | None = None) -> DataFrame:
     """Bytes of each partition in each file; not merged across files."""
     return versions.groupBy(*keys, file).agg(F.sum(size).cast("long").alias("uncompressed"), F.sum(compressed if compressed is not None else size).cast("long").alias("compressed"))
 
 
-def partition_sizes_from_index(index: DataFrame, file: str, offset: str, data_length: str) -> DataFrame:
-    """Bytes of each index entry: up to the next entry's offset in its file, the last up to the file's end."""
+def partition_sizes_from_index(index: DataFrame, file: str, offset: str, data_length: str, stretch: int = 64 << 20) -> DataFrame:
+    """Bytes of each index entry: up to the next entry's offset in its file, the last up to the file's end.
+
+    A file's entries are dealt to stretches of offsets, and the last entry of one ends where the next one that has any begins, so
+    no task holds a whole file's index.
+    """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(file).orderBy(offset)
-    return index.withColumn("uncompressed", F.coalesce(F.lead(offset).over(w), F.col(data_length)) - F.col(offset))
+    rows = index.withColumn("_part", F.floor(F.col(offset) / stretch))
+    firsts = rows.groupBy(file, "_part").agg(F.min(offset).alias("_first"))
+    ends = firsts.select(file, "_part", F.lead("_first").over(Window.partitionBy(file).orderBy("_part")).alias("_end"))
+    own = F.lead(offset).over(Window.partitionBy(file, "_part").orderBy(offset))
+    found = rows.withColumn("_next", own).join(ends, [file, "_part"])
+    return found.withColumn("uncompressed", F.coalesce("_next", "_end", data_length) - F.col(offset)).drop("_part", "_next", "_end")
 
 
 def unrepaired_or_primary(files: DataFrame, repaired: str, is_repair_primary: Column) -> DataFrame:

@@ -1,32 +1,42 @@
 """A micro-batch source of mutation logs.
 
 An offset is a dict of `timestampMicros` and `instanceLogs`: instance -> segment -> bytes read. Only bytes that came
-since the last offset are read, and a log's end is found from its last block, so a batch costs what is new.
+since the last offset are read; a log is opened for its end (found from its last block) only when its size has changed, so a
+batch costs one listing and what is new. The path is a folder or a URI of any store that pyarrow.fs opens (file, s3, gs, hdfs).
 """
 
 from __future__ import annotations
 
+import io
 import json
 import time
 from collections.abc import Iterator
-from pathlib import Path
 
+from pyarrow import fs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-LOG_SCHEMA = "instance string, segment bigint, position bigint, digest string, replica string, ts bigint, body string"
+from quorate.operators.cdc import observed
+
+LOG_SCHEMA = "instance string, segment bigint, position bigint, digest string, replica string, ts bigint, body string, problem string"
 #: Bytes that one task reads of a log; more are several tasks.
 PART_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 10
 
 
-def end_of_lines(log: Path) -> int:
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def end_of_lines(store: fs.FileSystem, log: str) -> int:
     """Bytes up to the last line end: what a writer has finished."""
-    with log.open("rb") as f:
-        at = f.seek(0, 2)
+    with store.open_input_file(log) as f:
+        at = f.size()
         while at:
             start = max(0, at - BLOCK_BYTES)
-            f.seek(start)
-            found = f.read(at - start).rfind(b"\n")
+            found = f.read_at(at - start, start).rfind(b"\n")
             if found >= 0:
                 return start + found + 1
             at = start
@@ -48,9 +58,11 @@ class LogPart(InputPartition):
 class MutationLogReader(DataSourceStreamReader):
     """Logs are JSON lines in <path>/<instance>/<segment>.log; a line's first byte is its position.
 
-    A log that is gone counts as empty; a line that can't be read is left out. Options: `windowSeconds` (600: an update
-    older than a batch's start by more is left out), `minMutationAgeSeconds` (0: a batch's time is so much before now),
-    `startingOffsets` (earliest, or window: at the first batch only what is in the window before now counts).
+    A log that is gone counts as empty. Options: `windowSeconds` (600: an update older than a batch's start by more is
+    late), `minMutationAgeSeconds` (0: a batch's time is so much before now), `startingOffsets` (earliest, or window: at
+    the first batch only what is in the window before now counts), `problems`: drop (the default) leaves out late updates
+    and lines that can't be read, keep gives them with `late` or `unreadable` in the column problem (a line that can't be
+    read in body), to be counted by counted_problems().
     """
 
     def __init__(self, options: dict):
@@ -61,7 +73,11 @@ class MutationLogReader(DataSourceStreamReader):
         self.start = o.get("startingoffsets", "earliest")
         if self.start not in ("earliest", "window"):
             raise ValueError(f"startingOffsets is earliest or window, not {self.start}")
+        self.keep = o.get("problems", "drop")
+        if self.keep not in ("drop", "keep"):
+            raise ValueError(f"problems is drop or keep, not {self.keep}")
         self.last: dict | None = None
+        self.ends: dict[str, tuple[int, int]] = {}  # log -> size, end of its last line
 
     def _now(self) -> int:
         return time.time_ns() // 1000 - self.age
@@ -71,11 +87,18 @@ class MutationLogReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         ends: dict[str, dict[str, int]] = {}
-        for log in sorted(Path(self.path).glob("*/*.log")):
+        store, root = opened(self.path)
+        known = {}
+        for log in sorted(store.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True)), key=lambda i: i.path):
+            if log.type != fs.FileType.File or log.extension != "log":
+                continue
             try:
-                ends.setdefault(log.parent.name, {})[log.stem] = end_of_lines(log)
+                old = self.ends.get(log.path)
+                known[log.path] = old if old and old[0] == log.size else (log.size, end_of_lines(store, log.path))
             except FileNotFoundError:
                 continue
+            ends.setdefault(log.path.split("/")[-2], {})[log.base_name.removesuffix(".log")] = known[log.path][1]
+        self.ends = known
         if self.last is None or self.last["instanceLogs"] != ends:  # else the same offset: no empty batches
             self.last = {"timestampMicros": self._now(), "instanceLogs": ends}
         return self.last
@@ -91,8 +114,9 @@ class MutationLogReader(DataSourceStreamReader):
         return out
 
     def read(self, partition: LogPart) -> Iterator[tuple]:
+        store, path = opened(partition.path)
         try:
-            lines = open(partition.path, "rb")
+            lines = io.BufferedReader(store.open_input_file(path), BLOCK_BYTES)
         except FileNotFoundError:
             return
         with lines:
@@ -104,10 +128,12 @@ class MutationLogReader(DataSourceStreamReader):
             while at < partition.last and (line := lines.readline()):
                 try:
                     m = json.loads(line)
-                    row = partition.instance, partition.segment, at, m["digest"], m.get("replica", partition.instance), int(m["ts"]), json.dumps(m.get("body"))
+                    row = partition.instance, partition.segment, at, m["digest"], m.get("replica", partition.instance), int(m["ts"]), json.dumps(m.get("body")), None
+                    if row[5] < partition.oldest:
+                        row = *row[:-1], "late"
                 except (ValueError, KeyError, TypeError, AttributeError):
-                    row = None
-                if row and row[5] >= partition.oldest:
+                    row = partition.instance, partition.segment, at, None, None, None, line.decode("utf-8", "replace"), "unreadable"
+                if row[-1] is None or self.keep == "keep":
                     yield row
                 at += len(line)
 
@@ -127,3 +153,9 @@ class MutationLogSource(DataSource):
 
     def streamReader(self, schema) -> MutationLogReader:
         return MutationLogReader(dict(self.options))
+
+
+def counted_problems(rows: DataFrame, name: str = "mutation_log") -> DataFrame:
+    """The rows of a source with problems=keep without those that have one; `late`, `unreadable` and `read` are metrics called `name`."""
+    problem = F.col("problem")
+    return observed(rows, name, late=problem == "late", unreadable=problem == "unreadable", read=problem.isNull()).where("problem is null")

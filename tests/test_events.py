@@ -7,6 +7,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from quorate.functions import codec
+from quorate.operators import cdc
 from quorate.streaming import messages, source
 
 UDTS = ["CREATE TYPE ks.inner_t (x int, y text)", "CREATE TYPE ks.outer_t (i frozen<inner_t>, m map<text, int>)"]
@@ -87,5 +88,47 @@ def test_log_reader(tmp_path, monkeypatch):
     assert source.ordered(end, later) and json.loads(json.dumps(later)) == later
     late = [r[3] for p in reader.partitions(end, later) for r in reader.read(p)]
     assert late == ["half", "d52"]  # d51 is older than the window
+    keeping = source.MutationLogReader({"path": f"file://{tmp_path}", "problems": "keep"})
+    assert [(r[3], r[-1]) for p in keeping.partitions(end, later) for r in keeping.read(p)] == [("half", None), ("d51", "late"), ("d52", None)]
+    assert [r[-1] for p in keeping.partitions(start, end) for r in keeping.read(p)].count("unreadable") == 1
     log.unlink()
     assert [r for p in reader.partitions(end, later) for r in reader.read(p)] == []
+
+
+def test_problems_are_counted(spark):
+    from pyspark.sql import Observation
+
+    rows = spark.createDataFrame([("a", None), (None, "unreadable"), ("b", "late"), ("c", None)], "digest string, problem string")
+    seen = Observation("log")
+    counted = cdc.observed(rows, seen, late=F.col("problem") == "late", read=F.col("problem").isNull())
+    assert counted.count() == 4 and seen.get == {"late": 1, "read": 2}
+    assert [r.digest for r in source.counted_problems(rows).collect()] == ["a", "c"]
+
+
+def test_pull_iterator_hands_its_state_over(spark, tmp_path):
+    from quorate.streaming import iterator
+
+    def write(node, *digests):
+        (tmp_path / "log" / node).mkdir(parents=True, exist_ok=True)
+        with (tmp_path / "log" / node / "1.log").open("a") as f:
+            f.write("".join(json.dumps({"digest": d, "ts": 2**60, "body": {"d": d}}) + "\n" for d in digests))
+
+    pull = lambda state, name="a", within=None: iterator.ChangeIterator(spark, str(tmp_path / "log"), 2, f"file://{tmp_path}/{name}", state, within=within)
+    write("n0", "d1", "d2")
+    write("n1", "d1", "d3")
+    first = pull(None)
+    assert [(r.digest, r.copies, json.loads(r.body)) for r in next(first).collect()] == [("d1", 2, {"d": "d1"})]
+    assert next(first, None) is None
+    moved = iterator.State.from_bytes(first.state.to_bytes())
+    assert moved == first.state and moved.epoch == 1
+    write("n0", "d2", "d4")  # the same replica once more
+    write("n2", "d3")
+    second = pull(moved)
+    assert [r.digest for r in next(second).collect()] == ["d3"] and second.state.epoch == 2
+    halves = [pull(None, f"h{i}", F.pmod(F.crc32(F.col("digest").cast("binary")), F.lit(2)) == i) for i in range(2)]
+    found = sorted(r.digest for h in halves for r in next(h).collect())
+    assert found == ["d1", "d3"]
+    whole = iterator.merged(halves[0].state, halves[1].state)
+    write("n1", "d2", "d4")
+    assert sorted(r.digest for r in next(pull(whole, "w")).collect()) == ["d2", "d4"]
+    assert iterator.merged(whole, iterator.State()).offset is None

@@ -14,9 +14,23 @@ def test_murmur3_vectors():
     want = {1: -4069959284402364209, 2: -3248873570005575792, 3: 9010454139840013625, 5: -7509452495886106294}
     for k, v in want.items():
         assert tokens.murmur3_token(k.to_bytes(4, "big")) == v
-    keys = np.array([*want, -1, 200, 2**31 - 1, -(2**31)])
-    assert tokens._int_tokens(keys, 4).tolist() == [tokens.murmur3_token(int(k).to_bytes(4, "big", signed=True)) for k in keys]
-    assert tokens._int_tokens(keys, 8).tolist() == [tokens.murmur3_token(int(k).to_bytes(8, "big", signed=True)) for k in keys]
+
+
+def test_tokens_of_numbers(spark):
+    r = np.random.default_rng(1)
+    keys = [1, 2, -1, 0, 200, 2**53 + 1, 2**63 - 1, -(2**63), 2**31 - 1, -(2**31), *r.integers(-(2**63), 2**63 - 1, 200).tolist()]
+    rows = spark.createDataFrame([(k, k % 2**32 - 2**31) for k in keys] + [(None, None)], "k bigint, i int")
+    for x in rows.select("*", tokens.murmur3_bigint("k").alias("kt"), tokens.murmur3_int("i").alias("it")).collect():
+        assert x.kt == (None if x.k is None else tokens.murmur3_token(x.k.to_bytes(8, "big", signed=True)))
+        assert x.it == (None if x.i is None else tokens.murmur3_token(x.i.to_bytes(4, "big", signed=True)))
+
+
+def test_tokens_of_bytes(spark):
+    r = np.random.default_rng(2)
+    keys = [r.integers(0, 256, n, dtype=np.uint8).tobytes() for n in (*range(40), 200, 15, 16, 17)]
+    assert tokens._tokens(keys).tolist() == [tokens.murmur3_token(k) for k in keys]
+    rows = spark.createDataFrame([(bytearray(k),) for k in keys[1:]] + [(None,)], "k binary").select("k", tokens.murmur3("k").alias("t")).collect()
+    assert all(x.t == (None if x.k is None else tokens.murmur3_token(bytes(x.k))) for x in rows)
 
 
 def test_random_token(spark):
@@ -102,7 +116,7 @@ def test_read_plan(spark):
 
 
 def test_random_tokens_of_all_customers(spark):
-    rows = catalogue.queries()["token_random_all"](spark, "/root/testdata/sf0.001").collect()
+    rows = catalogue.queries()["token_random"](spark, "/root/testdata/sf0.001").collect()
     signed = {r.c_name: int.from_bytes(hashlib.md5(r.c_name.encode()).digest(), "big", signed=True) for r in rows}
     assert min(signed.values()) < 0 < max(signed.values())
     assert all(int(r.token, 16) == abs(signed[r.c_name]) and len(r.token) == 32 for r in rows)

@@ -2,6 +2,7 @@ import datetime
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quorate.operators import cdc, reconcile
@@ -101,7 +102,7 @@ def test_read_table_with_deletions_and_collections(spark, tmp_path):
 
 def test_key_filters_need_every_key():
     spec = table.parse_table("create table t (a int, b int, c int, primary key ((a, b)))")
-    assert table.key_filters(spec, {"a": [1, 2]}) == []
+    assert table.key_filters(spec, {"a": [1, 2]}) is None and table.key_filters(spec, {"a": [1, 2], "b": []}) == []
     assert table.key_filters(spec, {"a": [2, 3], "b": [2, 3, 4]}) == [(a, b) for a in (2, 3) for b in (2, 3, 4)]
 
 
@@ -127,3 +128,64 @@ def test_stream_quorum_equals_batch(spark, tmp_path):
     quorum.write_events(quorum.published(stream, 2), lambda df, _: seen.extend(x.digest for x in df.collect()), str(tmp_path / "cp")).awaitTermination(120)
     batch = cdc.quorum(spark.createDataFrame(copies, "digest string, replica string"), "digest", 2, "replica").where("published")
     assert sorted(seen) == sorted(x.digest for x in batch.collect())
+
+
+def test_expired_rows_go_by_the_clock(spark, tmp_path):
+    rows = [(1, 1, 10, 5, datetime.datetime(2020, 1, 1)), (1, 2, 10, 6, datetime.datetime(2999, 1, 1)), (1, 3, 10, 7, None)]
+    spark.createDataFrame(rows, "a int, b int, write_ts int, c int, expires_at timestamp_ntz").write.parquet(str(tmp_path / "v"))
+    options = {"keyspace": "k", "createStmt": "create table k.t (a int, b int, c int, d text, primary key (a, b))", "dirs": str(tmp_path / "v")}
+    assert sorted(r.b for r in table.read_table(spark, options).collect()) == [2, 3]
+    assert sorted(r.b for r in table.read_table(spark, options | {"readTime": "2019-12-31 00:00:00"}).collect()) == [1, 2, 3]
+
+
+def test_an_empty_list_of_keys_gives_no_row(spark):
+    spec = table.parse_table("create table t (a int, b int, c int, primary key ((a, b)))")
+    rows = spark.range(10).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    assert table.with_key_filter(rows, spec, {"a": [1, 2], "b": []}).count() == 0
+    assert table.with_key_filter(rows, spec, {"a": [1, 2]}).count() == 10
+    assert table.with_key_filter(rows, spec, {"a": [1, 2], "b": [2, 3]}).count() == 1
+    assert rows.where(table.keys_in_range("a", [1, 2, 3], 0, 0)).count() == 0
+
+
+def test_elements_tie_and_expire_as_cells_do(spark):
+    t = lambda n: datetime.datetime(2024, 1, n)
+    e = spark.createDataFrame([(1, "x", 1, 5, False, None), (1, "x", 1, -5, False, None), (1, "y", 1, 7, False, t(2)), (1, "z", 1, 1, False, None), (1, "z", 1, 2, True, None)], "k int, p string, ts int, v int, dead boolean, e timestamp_ntz")
+    won = reconcile.merge_elements(e, ["k"], "p", "ts", "v", F.col("dead"), F.col("e"), F.lit(t(3)).cast("timestamp_ntz"))
+    assert [(r.p, r.v) for r in won.collect()] == [("x", -5)]
+
+
+def test_a_deletion_that_is_left_is_an_error(spark):
+    rows = spark.createDataFrame([(1, False), (2, True)], "k int, dead boolean")
+    assert reconcile.guarded(rows.where("not dead"), F.array("dead")).count() == 1
+    with pytest.raises(Exception, match="deletion is left"):
+        reconcile.guarded(rows, F.array("dead")).collect()
+
+
+def test_a_replica_counts_once_over_batches(spark):
+    a = spark.createDataFrame([("d1", "n0"), ("d2", "n0"), ("d2", "n1")], "digest string, replica string")
+    state = cdc.pending(a, cdc.quorum(a, "digest", 2, "replica"), "digest", "replica")
+    assert [tuple(r) for r in state.collect()] == [("d1", "n0")]
+    again = cdc.quorum(spark.createDataFrame([("d1", "n0")], a.schema), "digest", 2, "replica", seen=state)
+    assert [tuple(r) for r in again.collect()] == [("d1", 1, False)]
+
+
+def test_open_interval_is_an_error(spark):
+    m = spark.createDataFrame([(1, 1, "open", True)], "k int, at int, kind string, inclusive boolean")
+    with pytest.raises(Exception, match="never closed"):
+        cdc.require_closed(cdc.range_deletions(m, ["k"], "at")).collect()
+
+
+def test_clustered_versions_merge_without_a_shuffle(spark):
+    rows = spark.range(100).select((F.col("id") % 7).alias("a"), (F.col("id") % 3).alias("b"), F.col("id").alias("ts"), F.col("id").alias("v"))
+    table.save_clustered(rows, "clustered_versions", ["a"], 4)
+    merged = reconcile.merge_cells(spark.table("clustered_versions"), ["a", "b"], "ts", [Cell("v", F.col("v"))])
+    assert merged.count() == 21 and "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    spark.sql("drop table clustered_versions")
+
+
+def test_index_sizes_over_stretches(spark):
+    rows = [(f, at, 1_000) for f in range(3) for at in (0, 5, 99, 100, 101, 450, 999)]
+    index = spark.createDataFrame(rows, "file int, at bigint, len bigint")
+    want = {(f, a): n for f in range(3) for a, n in zip((0, 5, 99, 100, 101, 450, 999), (5, 94, 1, 1, 349, 549, 1))}
+    got = {(r.file, r.at): r.uncompressed for r in table.partition_sizes_from_index(index, "file", "at", "len", stretch=100).collect()}
+    assert got == want
