@@ -16,6 +16,7 @@ from quorate.functions import codec, schema, tokens
 from quorate.operators import cdc, reconcile, ring
 from quorate.operators.reconcile import Cell
 from quorate.sources import replicated, table
+from quorate.streaming import iterator, quorum, source
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -861,6 +862,41 @@ def st_state_merge(spark, d):
     return merged.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def _log_lines(spark, d) -> DataFrame:
+    """The copies of the events as lines of logs of three nodes."""
+    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("digest"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), F.col("props").alias("body")))
+    node = F.concat(F.lit("n"), F.col("replica").cast("string"))
+    return _copies(_events(spark, d)).select(node.alias("instance"), F.floor(F.col("event_id") / 2000).alias("segment"), F.col("event_id").alias("position"), line.alias("line"))
+
+
+@query(f"with {_COPIES_SQL} select event_id from c group by all having count(*) >= 2")
+def src_cdc_stream(spark, d):
+    """Logs of three nodes as a stream; an update is published once two of them have it."""
+    folder = source.shared_folder(spark, "logs")
+    source.write_logs(_log_lines(spark, d), folder)
+    quorum.use_state_store(spark)
+    spark.dataSource.register(source.MutationLogSource)
+    rows = spark.readStream.format("mutation_log").option("problems", "keep").load(folder)
+    found = quorum.published(source.counted_problems(rows).select("digest", "replica"), 2)
+    out = source.shared_folder(spark, "published")
+    run = found.writeStream.format("parquet").option("checkpointLocation", source.shared_folder(spark, "progress")).trigger(availableNow=True).start(out)
+    run.awaitTermination()
+    return spark.read.schema("digest string, copies long").parquet(out).select(F.col("digest").cast("long").alias("event_id"))
+
+
+@query(f"with {_COPIES_SQL} select event_id, count(*) as copies from c group by all having count(*) >= 2")
+def src_cdc_jdk(spark, d):
+    """The same logs pulled in two epochs: one node's first, the others' after; the state goes through its saved form."""
+    logs, epochs = source.shared_folder(spark, "logs"), source.shared_folder(spark, "epochs")
+    window = {"windowSeconds": "1e11"}
+    source.write_logs(_log_lines(spark, d).where("instance = 'n0'"), logs)
+    first = iterator.ChangeIterator(spark, logs, 2, epochs, options=window)
+    early = next(first)
+    source.write_logs(_log_lines(spark, d).where("instance <> 'n0'"), logs)
+    late = next(iterator.ChangeIterator(spark, logs, 2, epochs, iterator.State.from_bytes(first.state.to_bytes()), window))
+    return early.unionByName(late).select(F.col("digest").cast("long").alias("event_id"), "copies")
+
+
 _LOG_SQL = "l as (select 'i' || (user_id % 3) as instance, event_id // 1000 as segment, event_id % 1000 as position from events)"
 
 

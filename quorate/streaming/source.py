@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import io
 import json
+import tempfile
 import time
+import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -159,3 +162,33 @@ def counted_problems(rows: DataFrame, name: str = "mutation_log") -> DataFrame:
     """The rows of a source with problems=keep without those that have one; `late`, `unreadable` and `read` are metrics called `name`."""
     problem = F.col("problem")
     return observed(rows, name, late=problem == "late", unreadable=problem == "unreadable", read=problem.isNull()).where("problem is null")
+
+
+def write_logs(rows: DataFrame, path: str) -> int:
+    """Write rows (instance, segment, position, line) as logs that the source reads, each segment by one task; returns how many.
+
+    A segment is as large as a writer lets a log file grow. It is written beside its place and then moved, so that a task
+    that runs again leaves the same file.
+    """
+
+    def write(segment: pd.DataFrame) -> pd.DataFrame:
+        store, root = opened(path)
+        folder = f"{root}/{segment['instance'].iloc[0]}"
+        store.create_dir(folder, recursive=True)
+        log = f"{folder}/{segment['segment'].iloc[0]}.log"
+        with store.open_output_stream(own := f"{log}.{uuid.uuid4().hex}") as out:
+            out.write("".join(f"{x}\n" for x in segment.sort_values("position")["line"]).encode())
+        store.move(own, log)
+        return pd.DataFrame({"n": [len(segment)]})
+
+    return rows.select("instance", "segment", "position", "line").groupBy("instance", "segment").applyInPandas(write, "n long").count()
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder that driver and executors share: in spark.checkpoint.dir; unset, a temporary one for local sessions only."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}/quorate-checkpoints"
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
