@@ -689,6 +689,13 @@ def src_partition_size(spark, d):
     return table.partition_sizes(e, [PK], "file", F.octet_length("props") + 8, F.octet_length("props"))
 
 
+@query("select user_id, 'events.parquet' as file, cast(sum(octet_length(encode(cast(user_id as varchar))) + octet_length(encode(event_type)) + octet_length(encode(props))) as bigint) as uncompressed from events group by all")
+def src_local_partition_size(spark, d):
+    statement = "create table k.events (user_id bigint, event_type text, props text, primary key (user_id, event_type))"
+    sizes = table.read_partition_sizes(spark, _OPTIONS | {"dirs": f"{d}/events.parquet", "createStmt": statement})
+    return sizes.select(PK, "file", "uncompressed")
+
+
 @query("select event_id, coalesce(lead(event_id * 10) over (partition by event_id % 3 order by event_id * 10), 1000000000) - event_id * 10 as uncompressed from events")
 def partition_size_index(spark, d):
     e = _events(spark, d).select("event_id", (F.col("event_id") % 3).alias("file"), (F.col("event_id") * 10).alias("at"), F.lit(1000000000).cast("long").alias("len"))

@@ -26,13 +26,17 @@ def strict_bool(text: str) -> bool:
 
 
 def spec_from_options(options: Mapping[str, str]) -> TableSpec:
-    """Options as a reader gets them (names in any case): keyspace, createStmt, udts (lines), last_modified_timestamp."""
+    """Options as a reader gets them (names in any case): keyspace, createStmt, udts (lines), last_modified_timestamp.
+
+    `decimals`: precision and scale of varint and decimal columns, as `name:precision:scale`, comma-separated.
+    """
     o = {k.lower(): v for k, v in options.items()}
     missing = [k for k in ("keyspace", "createstmt", "dirs") if k not in o]
     if missing:
         raise ValueError(f"options are missing: {missing}")
     features = ("last_modified_timestamp",) if strict_bool(o.get("last_modified_timestamp", "false")) else ()
-    return parse_table(o["createstmt"], [u for u in o.get("udts", "").split("\n") if u.strip()], features)
+    sizes = [x.strip().split(":") for x in o.get("decimals", "").split(",") if x.strip()]
+    return parse_table(o["createstmt"], [u for u in o.get("udts", "").split("\n") if u.strip()], features, {name: (int(p), int(s)) for name, p, s in sizes})
 
 
 def read_table(spark: SparkSession, options: Mapping[str, str], now: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -201,6 +205,25 @@ def partition_sizes(versions: DataFrame, keys: Sequence[str], file: str, size: C
     return versions.groupBy(*keys, file).agg(F.sum(size).cast("long").alias("uncompressed"), F.sum(compressed if compressed is not None else size).cast("long").alias("compressed"))
 
 
+def read_partition_sizes(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
+    """(partition keys, file, uncompressed, compressed) of a table of read_table's options, a row for each partition and file.
+
+    A version's size is the bytes of its values as text; `compressed` shares each file's bytes out by that.
+    """
+    spec = spec_from_options(options)
+    o = {k.lower(): v for k, v in options.items()}
+    versions = spark.read.parquet(*(d for d in o["dirs"].split(",") if d))
+    size = F.lit(0)
+    for n in spec.partition_keys + spec.clustering_keys + spec.values + spec.statics:
+        if n in versions.columns:
+            size = size + F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0))
+    meta = versions.select(*spec.partition_keys, size.alias("_size"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("_bytes"))
+    found = meta.groupBy(*spec.partition_keys, "file").agg(F.sum("_size").cast("long").alias("uncompressed"), F.first("_bytes").alias("_bytes"))
+    whole = found.groupBy("file").agg(F.sum("uncompressed").alias("_whole"))
+    shared = F.floor(F.col("_bytes") * F.col("uncompressed") / F.greatest(F.col("_whole"), F.lit(1)))
+    return found.join(whole, "file").select(*spec.partition_keys, "file", "uncompressed", shared.cast("long").alias("compressed"))
+
+
 def partition_sizes_from_index(index: DataFrame, file: str, offset: str, data_length: str, stretch: int = 64 << 20) -> DataFrame:
     """Bytes of each index entry: up to the next entry's offset in its file, the last up to the file's end.
 

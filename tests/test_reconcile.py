@@ -189,3 +189,17 @@ def test_index_sizes_over_stretches(spark):
     want = {(f, a): n for f in range(3) for a, n in zip((0, 5, 99, 100, 101, 450, 999), (5, 94, 1, 1, 349, 549, 1))}
     got = {(r.file, r.at): r.uncompressed for r in table.partition_sizes_from_index(index, "file", "at", "len", stretch=100).collect()}
     assert got == want
+
+
+def test_precision_through_options():
+    options = {"keyspace": "k", "createStmt": "create table k.t (a int primary key, v varint, d decimal)", "dirs": "x", "decimals": "v:20:0, d:10:2"}
+    kinds = {f.name: f.type.simpleString() for f in table.spec_from_options(options).fields}
+    assert kinds == {"a": "int", "v": "decimal(20,0)", "d": "decimal(10,2)"}
+
+
+def test_partition_sizes_by_options(spark, tmp_path):
+    for i in range(2):
+        spark.createDataFrame([(k, "x" * (k + i)) for k in range(1, 4) for _ in range(5)], "a int, c string").coalesce(1).write.parquet(str(tmp_path / f"v{i}"))
+    options = {"keyspace": "k", "createStmt": "create table k.t (a int, c text, primary key (a))", "dirs": f"{tmp_path}/v0,{tmp_path}/v1"}
+    rows = table.read_partition_sizes(spark, options).collect()
+    assert len(rows) == 6 and sorted(r.uncompressed for r in rows if r.a == 2) == [5 * 3, 5 * 4] and all(0 < r.compressed for r in rows)
