@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorate.llm.bpe import Memo
-from quorate.llm.common import arrow_rows, durable, join_on_hot_key
+from quorate.llm.common import arrow_rows, durable, join_on_hot_key, numbered
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -254,7 +254,7 @@ def verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, text: str, ke
             out = batch[["a", "b"]].assign(similarity=[jaccard(x, y) for x, y in zip(batch["bag_a"], batch["bag_b"])])
             yield out[out["similarity"] >= similarity]
 
-    return durable(both.select("a", "b", "bag_a", "bag_b").mapInPandas(run, "a binary, b binary, similarity double"), "links")
+    return durable(both.select("a", "b", "bag_a", "bag_b").mapInPandas(run, "a bigint, b bigint, similarity double"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -275,7 +275,7 @@ def components(links: DataFrame) -> DataFrame:
 def compare_blocks(group: pd.DataFrame, estimate: float, similarity: float) -> list[tuple]:
     """Links between different components of a block of the members on the left and one of those on the right.
 
-    A pair that shares several buckets is compared in the first of these only, and two members that are both on the left
+    A bucket of one block has its members once, on the right; those outside its largest component are the left as well. A pair that shares several buckets is compared in the first of these only, and two members that are both on the left
     only once. Pairs whose signatures agree enough are verified here, so that only links leave the task.
     """
     least = int(np.ceil(estimate * COMPONENTS))
@@ -284,14 +284,14 @@ def compare_blocks(group: pd.DataFrame, estimate: float, similarity: float) -> l
     band = group["band"].iloc[0]
     right = np.flatnonzero(~left)
     out = []
-    for x in np.flatnonzero(left):
+    for x in np.flatnonzero(other if group["whole"].iloc[0] else left):
         ys = right[(c[right] != c[x]) & (~other[right] | (ids[right] > ids[x]))]
         if len(ys):
             same = s[ys] == s[x]
             first = same.reshape(len(ys), BANDS, ROWS).all(2).argmax(1)
             for y in ys[(same.sum(1) >= least) & (first == band)]:
                 if (found := jaccard(bag[x], bag[y])) >= similarity:
-                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y]), found))
+                    out.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y])), found))
     return out
 
 
@@ -321,14 +321,14 @@ def links_in_blocks(rows: Iterator[pd.DataFrame], estimate: float, similarity: f
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, links): each row's (doc, print); (print, _copies, component, at) of each distinct multiset, where `at`
-    is the least row of its component as (_unnamed, _doc, _mark), rows without id last; and (a, b, similarity) of prints."""
-    rows = durable(signed(docs, text, key), "signed")
-    here = F.struct(F.col("doc").isNull().alias("_unnamed"), F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))
-    same = durable(rows.groupBy("print").agg(F.min(here).alias("at"), F.count(F.lit(1)).alias("_copies")), "same")
-    places = same.select(F.col("print").alias("rep"), "at._doc", "at._mark")
-    first = (F.col("print") == F.col("rep")) & F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))
-    reps = rows.where(F.col("n_shingles") > 0).join(places, first, "left_semi").dropDuplicates(["print"])
-    reps = durable(reps.select(F.col("print").alias("rep"), "bands", "signature"), "reps")
+    is the least row of its component as (_unnamed, _doc, _mark, _row), rows without id last; and (a, b, similarity) of classes by number."""
+    rows = durable(numbered(signed(docs, text, key)), "signed")
+    here = F.struct(F.col("doc").isNull().alias("_unnamed"), F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "_row")
+    # Inside, a class goes by a number: Spark aggregates and joins longs without sorting, and ships a third of the bytes.
+    same = durable(numbered(rows.groupBy("print").agg(F.min(here).alias("at"), F.count(F.lit(1)).alias("_copies")), "rep"), "same")
+    places = same.select("rep", "at._doc", "at._mark")
+    first = same.select("rep", F.col("at._row").alias("_row"))
+    reps = durable(rows.where(F.col("n_shingles") > 0).select("_row", "bands", "signature").join(first, "_row").drop("_row"), "reps")
     banded = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = durable(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = durable(banded.join(shared, "bucket"), "members")
@@ -356,19 +356,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     mixed = durable(sizes.where("_components > 1 and _n > 2").select("bucket", F.col("_most.component").alias("_largest"), (F.col("_n") - F.col("_most._size")).alias("_others")), "mixed")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     spot = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
-    open_ = placed.join(mixed, "bucket").select("bucket", "band", "rep", "component", (F.col("component") != F.col("_largest")).alias("other"), F.col("n").alias("_n"), "_others")
-    lefts = open_.where("other").withColumns({"left": F.lit(True), "i": spot(F.col("_others"))}).withColumn("j", F.explode(F.sequence(F.lit(0), blocks(F.col("_n")) - 1)))
+    open_ = placed.join(mixed, "bucket").select("bucket", "band", "rep", "component", (F.col("component") != F.col("_largest")).alias("other"), F.col("n").alias("_n"), "_others", (F.col("n") <= BLOCK).alias("whole"))
+    lefts = open_.where("other and not whole").withColumns({"left": F.lit(True), "i": spot(F.col("_others"))}).withColumn("j", F.explode(F.sequence(F.lit(0), blocks(F.col("_n")) - 1)))
     rights = open_.withColumns({"left": F.lit(False), "j": spot(F.col("_n"))}).withColumn("i", F.explode(F.sequence(F.lit(0), blocks(F.col("_others")) - 1)))
     open_ = durable(lefts.unionByName(rights).drop("_n", "_others"), "open")
     held = bags_of(open_.select("rep"), places, docs, text, key)
     open_ = open_.join(reps.select("rep", "signature").join(held, "rep"), "rep")
     open_ = open_.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
-    more = open_.mapInPandas(lambda it: links_in_blocks(it, ESTIMATE, similarity), "a binary, b binary, similarity double")
+    more = open_.mapInPandas(lambda it: links_in_blocks(it, ESTIMATE, similarity), "a bigint, b bigint, similarity double")
     more = durable(more, "more")
     if not more.isEmpty():
         links = durable(links.union(more).dropDuplicates(["a", "b"]), "links")
         parts = components(links)
-    whole = same.join(parts, F.col("print") == F.col("node"), "left").select("print", "_copies", "at", F.coalesce("component", "print").alias("component"))
+    whole = same.join(parts, F.col("rep") == F.col("node"), "left").select("print", "_copies", "at", F.coalesce("component", "rep").alias("component"))
     whole = durable(whole, "classes")
     least = durable(whole.groupBy("component").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("_n")), "least")
     classes = join_on_hot_key(whole.drop("at"), least, "component", "_n", whole.count()).drop("_n")
