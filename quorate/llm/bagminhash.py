@@ -54,7 +54,7 @@ BROADCAST_IDS = 200_000
 WORDS_AT_ONCE = 200_000
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-_hashes = Memo(xxhash.xxh64_intdigest, 500_000)
+_hashes = Memo(xxhash.xxh64_intdigest, 200_000)
 U = np.uint64
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from quorate.llm.common import arrow_rows
 
 #: Entries of each memo; a full memo is emptied, so memory stays bounded. Longer chunks than LONG_CHUNK aren't remembered.
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 300_000
 LONG_CHUNK = 64
 #: White space as the Unicode property White_Space has it (a fixed list).
 SPACE = "\t-\r \x85\xa0  -     　"

@@ -144,7 +144,7 @@ def slots(columns: list[str]) -> Column:
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, rates, slots, v) of each row of `docs`: the row as a struct, and its two views."""
+    """(row, rates, slots, v) of each row of `docs`: the row as a struct, and its two views. To score many rows write them with prepared()."""
     return with_statistics(docs, text).select("row", rates().alias("rates"), slots(docs.columns).alias("slots"), vector(F.col(f"row.{text}")).alias("v"))
 
 
@@ -319,26 +319,30 @@ def pool_of(rows: DataFrame) -> Pool:
     return choose
 
 
-def prepared(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", labelled: int = LABELLED_ROWS) -> DataFrame:
-    """A written table of the features of all rows (`row` has only the key), with the label of the labelled sample in `y`."""
+def prepared(docs: DataFrame, text: str = "text", key: str = "doc_id", whole: bool = False) -> DataFrame:
+    """A written table of the features of all rows; `row` has all columns if `whole`, else only the key."""
+    have = [c for c in ("lang", "source", "n_chars") if c in docs.columns and c not in (key, text)]
+    found = features(docs if whole else docs.select(key, text, *have), text).withColumn("_id", F.col(f"row.{key}"))
+    found = found if whole else found.withColumn("row", F.struct(f"row.{key}"))
+    return durable(numbered(found.withColumn("_order", F.xxhash64("_id"))), "features")
+
+
+def fit(rows: DataFrame, docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", labelled: int = LABELLED_ROWS) -> Model | float:
+    """The model from at most `labelled` labelled rows of `docs` and the pool `rows`, a table of prepared() without these rows."""
     chosen = (
         labels.where(F.col("quality").isNotNull() & ~held_out(F.col(key)))
         .select(F.col(key).alias("_k"), F.col("quality").cast("int").alias("y"))
         .orderBy(F.xxhash64("_k"), "_k", "y").limit(labelled).dropDuplicates(["_k"])
     )
     have = [c for c in ("lang", "source", "n_chars") if c in docs.columns and c not in (key, text)]
-    found = features(docs.select(key, text, *have), text).withColumn("row", F.struct(f"row.{key}")).withColumn("_id", F.col(f"row.{key}"))
-    found = found.join(F.broadcast(chosen), F.col("_id") == F.col("_k"), "left").withColumn("_order", F.xxhash64("_id")).drop("_k")
-    return durable(numbered(found), "features")
-
-
-def fit(rows: DataFrame, labelled: int = LABELLED_ROWS) -> Model | float:
-    """The model from a table of prepared()."""
-    check = F.crc32(F.concat(F.lit("c"), F.col("_id").cast("string")).cast("binary")) % 4 == 0
+    own = docs.select(F.col(key).alias("_i"), F.col(text).alias("_t"), *have).join(F.broadcast(chosen), F.col("_i") == F.col("_k"))
+    check = F.crc32(F.concat(F.lit("c"), F.col("row._i").cast("string")).cast("binary")) % 4 == 0
+    own = features(own, "_t").select("rates", "slots", "v", F.col("row.y").alias("y"), check.alias("c"), F.xxhash64("row._i").alias("_order"))
     # A key repeats only where the table repeats it; the bound holds for the rows that are collected too.
-    got = rows.where("y is not null").orderBy("_order", "_row").limit(labelled).select("rates", "slots", "v", "y", F.coalesce(check, F.lit(False)).alias("c")).collect()
+    got = own.orderBy("_order", "v").limit(labelled).collect()
     x, z = content([r["rates"] for r in got], [bytes(r["v"]) for r in got]), page([r["slots"] for r in got])
-    return train(x, z, np.array([r["y"] for r in got], int), np.array([r["c"] for r in got], bool), pool_of(rows.where("y is null")))
+    pool = rows.join(F.broadcast(chosen.select("_k")), F.col("_id") == F.col("_k"), "left_anti")
+    return train(x, z, np.array([r["y"] for r in got], int), np.array([r["c"] for r in got], bool), pool_of(pool))
 
 
 def score(rows: DataFrame, model: Model | float) -> DataFrame:

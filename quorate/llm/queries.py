@@ -22,8 +22,9 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cotrain.prepared(documents(spark, sf_dir), labels(spark, sf_dir))
-    return cotrain.score(rows, cotrain.fit(rows)).select("row.doc_id", "p_text", "p_meta", "score", "kept")
+    docs = documents(spark, sf_dir)
+    rows = cotrain.prepared(docs)
+    return cotrain.score(rows, cotrain.fit(rows, docs, labels(spark, sf_dir))).select("row.doc_id", "p_text", "p_meta", "score", "kept")
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,7 @@ def test_stages_by_brute_force(spark, folder):
     kept = kept.cache()
     assert kept.columns == names and Counter(kept.collect()) == Counter(want) and rules and len(want) < len(rows)
 
-    model = cotrain.fit(cotrain.prepared(docs, labels))
+    model = cotrain.fit(cotrain.prepared(kept, whole=True), docs, labels)
     assert isinstance(model, cotrain.Model)
     rates = []
     for r in want:

@@ -64,14 +64,14 @@ def test_cotraining(spark, awkward, empty):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     n = {(r.quality, r.kept): r["count"] for r in op3_cotraining(spark, SF).join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
     assert n.get((1, False), 0) <= 0.02 * n[1, True] and n.get((0, False), 0) >= 4 * n.get((0, True), 0)
-    model = cotrain.fit(cotrain.prepared(docs, labels))
+    model = cotrain.fit(cotrain.prepared(docs), docs, labels)
     assert isinstance(model, cotrain.Model) and model.exchanged[0] > 0
     clashing = awkward.withColumns({"score": F.lit("mine"), "row": F.lit(1), "v": F.lit(2)})
     got = cotrain.score(cotrain.features(clashing), model)
     assert got.select("row.*").columns == clashing.columns and {r.score for r in got.select("row.score").collect()} == {"mine"}
     assert Counter(r.doc_id for r in got.select("row.doc_id").collect()) == Counter(r.doc_id for r in awkward.collect())
     assert cotrain.score(cotrain.features(empty), model).count() == 0 and cotrain.score(cotrain.features(awkward), 0.25).where("kept").count() == 0
-    assert cotrain.fit(cotrain.prepared(docs, labels.where("1 = 0"))) == 1.0 and cotrain.fit(cotrain.prepared(empty, labels)) == 1.0
+    assert cotrain.fit(cotrain.prepared(docs), docs, labels.where("1 = 0")) == 1.0 and cotrain.fit(cotrain.prepared(empty), empty, labels) == 1.0
 
 
 def brute_vector(text):
@@ -96,11 +96,10 @@ def test_text_view_by_brute_force(monkeypatch):
 
 def test_exchange_by_brute_force(spark):
     """What the tasks hand over is what sorting the whole pool gives."""
-    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    rows = cotrain.prepared(docs, labels)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    pool = cotrain.prepared(docs)
     r = np.random.default_rng(2)
     views = tuple(cotrain.View(r.normal(size=len(p) + 1), 1.0, 1.0) for p in cotrain.PENALTIES)
-    pool = rows.where("y is null")
     all_ = pool.toPandas()
     used = (set(all_["_row"][:50].tolist()), set(all_["_row"][25:75].tolist()))
     got = cotrain.pool_of(pool.repartition(5))(views, used)
