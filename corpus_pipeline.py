@@ -28,9 +28,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier keeps; the rules have taken most bad rows, so it is fitted on all documents."""
-    model = cotrain.fit(cotrain.prepared(documents(spark, sf_dir), labels(spark, sf_dir)))
-    return cotrain.score(cotrain.features(docs), model).where("kept").select("row.*")
+    """Documents that the co-trained classifier keeps. The rules have taken most bad rows, so labelled rows are those of all documents."""
+    rows = cotrain.prepared(docs, whole=True)
+    model = cotrain.fit(rows, documents(spark, sf_dir), labels(spark, sf_dir))
+    return cotrain.score(rows, model).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
