@@ -20,6 +20,8 @@ RANK_BUCKET_ROWS = 20_000
 MOST_HOT_KEYS = 1_000
 
 
+#: Rows of an Arrow batch of whole texts.
+BATCH_ROWS = 1_000
 #: Paths that durable() wrote, for each scratch() that is open.
 _written: list[list[str]] = []
 
@@ -142,7 +144,15 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in Arrow batches of BATCH_ROWS rows, unless the session has set another number than Spark's own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorate.llm import bagminhash, boilerplate, bpe, cotrain, licences, media, packing, rulelist, sharding, toxicity
-from quorate.llm.common import documents, durable, held_out, labels
+from quorate.llm.common import bounded_batches, documents, durable, held_out, labels
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,7 @@ def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return boilerplate.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
