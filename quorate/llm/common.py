@@ -22,6 +22,11 @@ MOST_HOT_KEYS = 1_000
 
 #: Rows of an Arrow batch of whole texts.
 BATCH_ROWS = 1_000
+#: Rows that a task reads of Parquet at once; it holds their whole texts, up to twice.
+READ_ROWS = 256
+#: Bytes of a row group that durable() writes. A task holds the row group that it writes and that it reads, so by Parquet's own
+#: 128 MB a few tasks with whole texts fill a small heap.
+ROW_GROUP_BYTES = 16 << 20
 #: Paths that durable() wrote, for each scratch() that is open.
 _written: list[list[str]] = []
 
@@ -45,7 +50,7 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     for paths in _written:
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -145,10 +150,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Whole texts go to Python in Arrow batches of BATCH_ROWS rows, unless the session has set another number than Spark's own."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Whole texts are read in batches of READ_ROWS rows and go to Python in Arrow batches of BATCH_ROWS rows, unless the session has set another number than Spark's own."""
+    for name, own, rows in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", BATCH_ROWS), ("spark.sql.parquet.columnarReaderBatchSize", "4096", READ_ROWS)):
+        if spark.conf.get(name) == own:
+            spark.conf.set(name, str(rows))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 import re
 import unicodedata
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -129,3 +131,26 @@ def test_intermediates_are_deleted(spark, tmp_path):
     assert b.count() == 5
     with pytest.raises(Exception, match="(?i)not.*exist"):
         a.collect()
+
+
+def test_row_groups_of_intermediates_are_bounded(spark):
+    """A task that writes much holds no more than a small row group, whatever Parquet's own size of them is."""
+    rows = spark.range(0, 800_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    with common.scratch(spark) as made:
+        assert common.durable(rows, "rows").agg(F.count_distinct("text")).first()[0] == 800_000
+        parts = [pq.ParquetFile(f).metadata for f in Path(made[0].removeprefix("file://")).glob("part-*")]
+    sizes = [p.row_group(i).total_byte_size for p in parts for i in range(p.num_row_groups)]
+    assert sum(sizes) > 3 * common.ROW_GROUP_BYTES and max(sizes) < 2 * common.ROW_GROUP_BYTES
+
+
+def test_whole_texts_are_read_in_bounded_batches(spark, folder):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    try:
+        for own, want in (("4096", str(common.READ_ROWS)), ("777", "777")):
+            spark.conf.set(name, own)
+            common.documents(spark, folder)
+            assert spark.conf.get(name) == want
+        assert common.READ_ROWS <= 512
+    finally:
+        spark.conf.set(name, before)
