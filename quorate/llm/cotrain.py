@@ -1,7 +1,7 @@
 """Quality classifier by co-training: two views of a document teach each other, then vote.
 
-View 1 is the text's content: rates of symbols, repetition, capitals and so on, computed by Spark, and hashed words,
-pairs of words and character trigrams, each as the root of its share of the text. View 2 is the page's metadata: language, source
+View 1 is the text's content: rates of symbols, repetition, capitals and so on, and hashed words, pairs of words and
+character trigrams, each as the root of its share of the text; both are made where the text is, in one call of Python. View 2 is the page's metadata: language, source
 and length and their pairs, hashed or binned. Both are logistic regressions in numpy, fitted on the driver from at
 most LABELLED_ROWS labelled rows (a documented bound; those with the least hash of the id) and what the views hand to
 each other. All other documents are the pool: in each round both views score all of it, and each labels the rows that
@@ -20,8 +20,14 @@ input keep their values whatever they are called: score() returns them inside on
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -31,7 +37,7 @@ from pyspark.sql import types as T
 
 from quorate.llm.bagminhash import U, fold, mix, word_hashes_of
 from quorate.llm.common import durable, held_out, numbered
-from quorate.llm.rulelist import RATES, rate, with_statistics
+from quorate.llm.rulelist import RATES, SYMBOLS, WHITE
 
 LABELLED_ROWS = 4_000
 ROUNDS, EXCHANGED = 5, 100
@@ -40,8 +46,17 @@ CONFIDENT = 0.95
 TOP = {"mean_word": 20.0, "words_per_line": 100.0}
 WORD_SLOTS, PAIR_SLOTS, GRAM_SLOTS = 512, 256, 256
 VECTOR = WORD_SLOTS + PAIR_SLOTS + GRAM_SLOTS
-#: Bytes of texts that are hashed at once.
+#: Bytes of texts that are hashed or counted at once.
 BYTES_AT_ONCE = 1 << 20
+#: Counts that are sums over a text's bytes: those that count, of ASCII and of the first bytes of other characters.
+BYTE_COUNTS = {
+    "word_chars": [b for b in range(256) if chr(b) not in WHITE and b >> 6 != 2], "n_symbols": list(SYMBOLS.encode()), "n_upper": list(range(65, 91)),
+    "n_exclaim": list(b"!?"), "n_digits": list(range(48, 58)), "n_lines": [10],
+}
+BYTE_KINDS = np.array([[b in found for found in BYTE_COUNTS.values()] for b in range(256)], np.int64)
+#: Up to so many distinct words the numbers of three fit one 64-bit integer.
+MOST_NUMBERS = 1 << 21
+_white = re.compile(rb"[ \t-\r]")
 #: Slots of the metadata view: language, source, length, source and length, language and length.
 LANG_SLOTS, SOURCE_SLOTS, LENGTH_SLOTS, CROSS_SLOTS = 8, 32, 24, 64
 META = LANG_SLOTS + SOURCE_SLOTS + LENGTH_SLOTS + 2 * CROSS_SLOTS
@@ -114,19 +129,78 @@ def vectors(texts: list) -> np.ndarray:
     return np.rint(255 * shares).astype(np.uint8)
 
 
-@F.pandas_udf(T.BinaryType())
-def vector(text: pd.Series) -> pd.Series:
-    values = list(text)
-    return pd.Series([x.tobytes() for i in range(0, len(values), 500) for x in vectors(values[i : i + 500])], dtype=object)
+@cache
+def other_capitals() -> np.ndarray:
+    """Which characters beyond ASCII are upper-case letters, by code point."""
+    return np.fromiter((c > 127 and unicodedata.category(chr(c)) == "Lu" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
 
+def between_words(data: bytes) -> Iterator[bytes]:
+    """Parts of about BYTES_AT_ONCE bytes that begin and end between words; a longer word stays whole."""
+    at = 0
+    while at < len(data):
+        blank = _white.search(data, at + BYTES_AT_ONCE)
+        end = blank.start() if blank else len(data)
+        yield data[at:end]
+        at = end
 
-def rates() -> Column:
+
+def repeated(numbers: np.ndarray, n: int) -> int:
+    """How many words lie in a three-word window that the text has twice or more; words as numbers under n, equal for equal words only."""
+    window = numbers[:-2] * n + numbers[1:-1]
+    if n > MOST_NUMBERS:
+        window = np.unique(window, return_inverse=True)[1]
+    window = window * n + numbers[2:]
+    order = np.argsort(window)
+    same = np.diff(window[order]) == 0
+    if not same.any():
+        return 0
+    twice = np.zeros(len(window), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    held = np.zeros(len(numbers), bool)
+    for k in range(3):
+        held[k : k + len(twice)] |= twice
+    return int(held.sum())
+
+
+def counts_of(text: str | None) -> dict[str, int]:
+    """The counts of rulelist.with_statistics(), exact for a text of any length."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    number: dict[bytes, int] = defaultdict(count().__next__)
+    numbers, sums, capitals = [np.zeros(0, np.int64)], np.zeros(len(BYTE_COUNTS), np.int64), 0
+    for part in between_words(data):
+        sums += np.bincount(np.frombuffer(part, np.uint8), minlength=256) @ BYTE_KINDS
+        if not part.isascii():
+            code = np.frombuffer(part.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+            capitals += int(other_capitals()[code].sum())
+        words = part.split()
+        numbers.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+    flat = np.concatenate(numbers)
+    lines = [x for x in data.split(b"\n") if x and not x.isspace()]
+    out = dict(zip(BYTE_COUNTS, sums.tolist()))
+    return out | {
+        "n_words": len(flat), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": repeated(flat, len(number)), "n_distinct": len(number),
+        "n_upper": out["n_upper"] + capitals, "n_lines": out["n_lines"] + 1,
+    }
+
+
+def rates_of(texts: list) -> np.ndarray:
+    """(n, 2 * rates): each rate of rulelist.RATES, clipped, and its root."""
+    found = [counts_of(t) for t in texts]
+    column = lambda name: np.array([c[name] for c in found], np.float64)
     out = []
-    for name in RATES:
+    for name, (above, below) in RATES.items():
         top = TOP.get(name, 1.0)
-        value = F.least(rate(name), F.lit(top)) / F.lit(top)
-        out += [value, F.sqrt(value)]
-    return F.array(*out)
+        value = np.minimum(column(above) / np.maximum(column(below), 1), top) / top
+        out += [value, np.sqrt(value)]
+    return np.stack(out, 1)
+
+
+@F.pandas_udf(T.StructType().add("rates", T.ArrayType(T.DoubleType())).add("v", T.BinaryType()))
+def text_view(text: pd.Series) -> pd.DataFrame:
+    values = list(text)
+    v = [x.tobytes() for i in range(0, len(values), 500) for x in vectors(values[i : i + 500])]
+    return pd.DataFrame({"rates": pd.Series(list(rates_of(values)), dtype=object), "v": pd.Series(v, dtype=object)})
 
 
 def slots(columns: list[str]) -> Column:
@@ -145,7 +219,8 @@ def slots(columns: list[str]) -> Column:
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, rates, slots, v) of each row of `docs`: the row as a struct, and its two views. To score many rows write them with prepared()."""
-    return with_statistics(docs, text).select("row", rates().alias("rates"), slots(docs.columns).alias("slots"), vector(F.col(f"row.{text}")).alias("v"))
+    rows = docs.select(F.struct("*").alias("row")).withColumn("found", text_view(F.col(f"row.{text}")))
+    return rows.select("row", "found.rates", slots(docs.columns).alias("slots"), "found.v")
 
 
 def content(rates: list, v: list) -> np.ndarray:

@@ -94,6 +94,28 @@ def test_text_view_by_brute_force(monkeypatch):
         assert cotrain.vectors(texts).tolist() == [brute_vector(t) for t in texts]
 
 
+def test_counts_of_the_text_view(spark, awkward, monkeypatch):
+    """What Python counts is what rulelist counts in Spark, also in parts and with words too many for one integer."""
+    r = np.random.default_rng(3)
+    odd = [" ".join(r.choice(list("abcd"), n)) for n in (1, 2, 3, 4, 9, 60)] + ["É x\x1cy\x85z\u00a0w \u3000 ÀÉ\r\nÉ x\r\n\r\n É x", "\n\n", "\t", "ab\n" * 9, "#$ %&!? 12\x0b٣ ÉÀ 🙂 ǅ ʰ Ⅷ " * 30, "x" * 5_000 + " y " + "x" * 5_000]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text").unionByName(awkward.select("text")).unionByName(spark.createDataFrame([(t,) for t in odd], "text string"))
+    want = [(x.text, x.asDict()) for x in rulelist.with_statistics(docs).select("row.text", "s.*").collect()]
+    for at_once, most in ((1 << 20, 1 << 21), (100, 1)):
+        monkeypatch.setattr(cotrain, "BYTES_AT_ONCE", at_once)
+        monkeypatch.setattr(cotrain, "MOST_NUMBERS", most)
+        for text, s in want:
+            assert cotrain.counts_of(text) | {"text": text} == s, (text or "")[:80]
+    assert {c for pair in rulelist.RATES.values() for c in pair} <= cotrain.counts_of("").keys()
+
+
+def test_text_view_is_one_call_of_python(spark):
+    """No words of whole texts are walked by lambdas of Spark, which it interprets word by word."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = cotrain.features(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") and not re.search("lambdafunction|Generate", plan) and len(re.findall(r"text_view\(", plan)) == 1, plan
+    assert rulelist.with_statistics(docs)._jdf.queryExecution().executedPlan().toString().count("lambdafunction")
+
+
 def test_exchange_by_brute_force(spark):
     """What the tasks hand over is what sorting the whole pool gives."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
