@@ -24,8 +24,8 @@ MOST_HOT_KEYS = 1_000
 BATCH_ROWS = 1_000
 #: Rows that a task reads of Parquet at once; it holds their whole texts, up to twice.
 READ_ROWS = 256
-#: Bytes of a row group that durable() writes. A task holds the row group that it writes and that it reads, so by Parquet's own
-#: 128 MB a few tasks with whole texts fill a small heap.
+#: Bytes of a row group, of what durable() writes and of what a caller writes after documents(), such as a stage's output. A task
+#: holds the row group that it writes and that it reads, so by Parquet's own 128 MB a few tasks with whole texts fill a small heap.
 ROW_GROUP_BYTES = 16 << 20
 #: Paths that durable() wrote, for each scratch() that is open.
 _written: list[list[str]] = []
@@ -150,10 +150,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Whole texts are read in batches of READ_ROWS rows and go to Python in Arrow batches of BATCH_ROWS rows, unless the session has set another number than Spark's own."""
+    """Whole texts are read in batches of READ_ROWS rows, go to Python in Arrow batches of BATCH_ROWS rows and are written in row groups of ROW_GROUP_BYTES, unless the session has set another number than Spark's own."""
     for name, own, rows in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", BATCH_ROWS), ("spark.sql.parquet.columnarReaderBatchSize", "4096", READ_ROWS)):
         if spark.conf.get(name) == own:
             spark.conf.set(name, str(rows))
+    name = "parquet.block.size"
+    if spark.conf.get(name, None) is None and spark._jsc.hadoopConfiguration().get(name) is None:
+        spark.conf.set(name, str(ROW_GROUP_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

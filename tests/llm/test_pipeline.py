@@ -143,6 +143,24 @@ def test_row_groups_of_intermediates_are_bounded(spark):
     assert sum(sizes) > 3 * common.ROW_GROUP_BYTES and max(sizes) < 2 * common.ROW_GROUP_BYTES
 
 
+def test_row_groups_of_a_callers_output_are_bounded(spark, folder, tmp_path):
+    """A stage's output is written by its caller and read by the next stage, so its row groups are small as well, unless the session sets them."""
+    name = "parquet.block.size"
+    before = spark.conf.get(name, None)
+    rows = spark.range(0, 800_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    try:
+        for own, want in ((None, str(common.ROW_GROUP_BYTES)), ("77777777", "77777777")):
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            common.documents(spark, folder)
+            assert spark.conf.get(name, None) == want
+            rows.write.parquet(f"{tmp_path}/{want}")
+        part = pq.ParquetFile(next(Path(f"{tmp_path}/{common.ROW_GROUP_BYTES}").glob("part-*"))).metadata
+        sizes = [part.row_group(i).total_byte_size for i in range(part.num_row_groups)]
+        assert sum(sizes) > 3 * common.ROW_GROUP_BYTES and max(sizes) < 2 * common.ROW_GROUP_BYTES
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_whole_texts_are_read_in_bounded_batches(spark, folder):
     name = "spark.sql.parquet.columnarReaderBatchSize"
     before = spark.conf.get(name)
