@@ -18,7 +18,10 @@ from __future__ import annotations
 
 import logging
 import os
+import re
+import struct
 import zlib
+from operator import attrgetter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -200,21 +203,58 @@ def places(plan: Plan) -> list[tuple[int, int, int, int, int, int]]:
 # --- the pieces -----------------------------------------------------------------------------------------------
 
 _encoders: dict[str, Memo] = {}
+#: A chunk that byte-level pre-tokenizers leave whole.
+ONE_WORD = re.compile(" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+)")
+#: The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on.
+_printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LEVEL = {b: chr(b) for b in _printable} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _printable)}
+
+
+class TwoMemos(Memo):
+    """A memo that, when full, keeps what it held until it is full again, so that frequent keys aren't computed again; at most twice `most` entries."""
+
+    def __init__(self, *args, **kw):
+        super().__init__(*args, **kw)
+        self.before: dict = {}
+
+    def __missing__(self, key):
+        if self.longest is not None and len(key) > self.longest:
+            return self.compute(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        value = self[key] = self.compute(key) if value is None else value
+        return value
 
 
 def _encoder(path: str) -> Memo:
-    """Text between two cuts of the pre-tokenizer -> its ids as bytes, by the tokenizers library."""
+    """Text between two cuts of the pre-tokenizer -> its ids as bytes, by the tokenizers library.
+
+    A chunk of one word goes to the library's model at once, without its pre-tokenizer and its offsets, where nothing else
+    stands before the model.
+    """
     if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        before, model = tokenizer.pre_tokenizer, tokenizer.model
+        plain = (
+            isinstance(before, pre_tokenizers.ByteLevel) and before.use_regex and not before.add_prefix_space and isinstance(model, models.BPE) and tokenizer.normalizer is None
+            and tokenizer.truncation is None and tokenizer.padding is None and all(t.special for t in tokenizer.get_added_tokens_decoder().values())
+        )
 
         def ids(chunk: str) -> bytes:
-            return b"".join(i.to_bytes(4, "little") for i in tokenizer.encode(chunk, add_special_tokens=False).ids)
+            if plain and ONE_WORD.fullmatch(chunk):
+                word = chunk.replace(" ", BYTE_LEVEL[32]) if chunk.isascii() else chunk.encode().decode("latin-1").translate(BYTE_LEVEL)
+                found = list(map(attrgetter("id"), model.tokenize(word)))
+            else:
+                found = tokenizer.encode(chunk, add_special_tokens=False).ids
+            return struct.pack(f"<{len(found)}I", *found)
 
-        _encoders[path] = Memo(ids, longest=LONG_CHUNK)
+        _encoders[path] = TwoMemos(ids, longest=LONG_CHUNK)
     return _encoders[path]
 
 

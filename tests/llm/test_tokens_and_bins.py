@@ -148,6 +148,51 @@ def test_special_strings_and_long_chunks():
     assert all(len(k) <= bpe.LONG_CHUNK for k in known) and all(len(k) <= bpe.LONG_CHUNK for k in CODEC.chunks)
 
 
+def test_a_full_memo_keeps_frequent_keys():
+    computed = []
+    memo = packing.TwoMemos(lambda k: computed.append(k) or k.upper(), most=10, longest=5)
+    for i in range(100):
+        assert memo[f"k{i}"] == f"K{i}" and memo["often"] == "OFTEN" and memo["longer"] == "LONGER"
+        assert len(memo) <= 10 and len(memo.before) <= 10
+    assert computed.count("often") == 1 and computed.count("longer") == 100 and isinstance(packing._encoder(JSON), packing.TwoMemos)
+
+
+def test_words_go_to_the_model_at_once(monkeypatch):
+    """Ids of single words are the library's, without a call of its whole encoder; all other chunks go through that."""
+    library = Tokenizer.from_file(JSON)
+    library.encode_special_tokens = True
+    words = ["a", " a", "Hello", " hello", " ÀÉîøÿ", "àéîøÿ", " 0", "2026", " 31415926535", "x" * 500, " " + "é" * 300]
+    letters = [chr(c) for c in range(0x250)]
+    others = [" ", "  ", "'s", "don't", "(word)", " word's", "3D", "²", "½", "<|endoftext|>", "×÷", "a×b", "漢字", " ıx", "🙂", "\x1c", "a\n", *letters, *(" " + c for c in letters)]
+    called = []
+
+    class Counted:
+        def __init__(self, own):
+            self.__dict__["own"] = own
+
+        @classmethod
+        def from_file(cls, path):
+            return cls(Tokenizer.from_file(path))
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.own, name, value)
+
+        def encode(self, chunk, **kw):
+            called.append(chunk)
+            return self.own.encode(chunk, **kw)
+
+    monkeypatch.setattr(packing, "_encoders", {})
+    monkeypatch.setattr("tokenizers.Tokenizer", Counted)
+    known = packing._encoder(JSON)
+    for chunk in words + others:
+        want = library.encode(chunk, add_special_tokens=False).ids
+        assert memoryview(known[chunk]).cast("I").tolist() == want, chunk
+    assert not set(called) & set(words)
+
+
 def test_local_search_empties_a_sequence():
     plan = packing.Plan(10)
     for pattern in (((6, 1), (2, 1)), ((5, 1), (3, 1)), ((4, 1),)):
