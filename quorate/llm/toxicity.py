@@ -23,8 +23,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
+from collections import defaultdict
 from collections.abc import Iterable
+from itertools import count, islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -43,6 +44,8 @@ BATCH, STEPS, WARM_STEPS, RESCORE = 96, 400, 120, 70
 RATE = 0.01
 #: Words whose input is remembered by a worker; a full memory is emptied.
 KNOWN_WORDS = 200_000
+#: New words whose input is computed at once.
+NEW_WORDS_AT_ONCE = 10_000
 #: Words that are scored at once, so memory is bounded for any text.
 WORDS_AT_ONCE = 300_000
 
@@ -52,7 +55,7 @@ WORD = re.compile(r"[^\W_]+")
 def words_of(text: str | None) -> list[str]:
     """The text's words; runs of more than PIECE letters, as in scripts without blanks, as overlapping pieces."""
     words = WORD.findall((text or "").lower())
-    if all(len(w) <= PIECE for w in words):
+    if max(map(len, words), default=0) <= PIECE:
         return words
     return [w[i : i + PIECE] for w in words for i in range(0, max(len(w) - PIECE, 0) + PIECE_STEP, PIECE_STEP)[: None if len(w) > PIECE else 1]]
 
@@ -77,6 +80,43 @@ def grams_of(word: str) -> list[int]:
     return [zlib.crc32(marked[4 * i : 4 * (i + k)]) % GRAM_SLOTS for k in GRAMS for i in range(n - k + 1)] or [zlib.crc32(marked) % GRAM_SLOTS]
 
 
+def crc_shares(bits: range) -> np.ndarray:
+    """(characters that follow in the gram, value of these bits of a code point) -> what they change in the crc32 of a gram of zeros."""
+    out = np.zeros((max(GRAMS), 1 << len(bits)), np.uint32)
+    for after in range(len(out)):
+        zeros = zlib.crc32(bytes(4 * (after + 1)))
+        for i, bit in enumerate(bits):  # crc32 is linear in the bits of texts of equal length
+            out[after, 1 << i : 2 << i] = out[after, : 1 << i] ^ np.uint32(zlib.crc32((1 << bit).to_bytes(4, "little") + bytes(4 * after)) ^ zeros)
+    return out
+
+
+LOW_SHARES, HIGH_SHARES = crc_shares(range(16)), crc_shares(range(16, 21))
+
+
+def grams_of_all(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """grams_of() of each word, one word after the other, and how many each has; many words at once."""
+    points = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    counts = [np.maximum(lengths - k + 1, 0) for k in GRAMS]
+    sizes = np.maximum(sum(counts), 1)
+    low, high = points & 0xFFFF, points >> 16
+    shares = [x[low] for x in LOW_SHARES]
+    if high.any():
+        shares = [s ^ x[high] for s, x in zip(shares, HIGH_SHARES, strict=True)]
+    ends = np.cumsum(lengths)
+    left = np.repeat(ends, lengths) - np.arange(len(points))  # characters to the word's end
+    out = np.full(sizes.sum(), grams_of("")[0], np.int64)
+    to = np.cumsum(sizes) - sizes - (ends - lengths)  # from a character's place to its gram's
+    for k, n in zip(GRAMS, counts, strict=True):
+        at = np.flatnonzero(left >= k)
+        crc = np.full(max(len(points) - k + 1, 0), zlib.crc32(bytes(4 * k)), np.uint32)
+        for i in range(k):
+            crc ^= shares[k - 1 - i][i : i + len(crc)]
+        out[np.repeat(to, n) + at] = crc[at] % GRAM_SLOTS
+        to = to + n
+    return out, sizes
+
+
 def slot_of(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORD_SLOTS
 
@@ -159,15 +199,16 @@ class Vocabulary:
         for ws in texts:
             for w in ws:
                 self.number.setdefault(w, len(self.number))
-        flat, sizes = array("i"), array("i")  # compact: the driver's memory is small
-        for w in self.number:
-            own = grams_of(w)
-            flat.extend(own)
-            sizes.append(len(own))
-        self.slots = np.fromiter(map(slot_of, self.number), np.int32, len(self.number))
-        self.sizes = np.array(sizes, np.int64)
+        names = list(self.number)
+        flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(names), NEW_WORDS_AT_ONCE):
+            grams, n = grams_of_all(names[i : i + NEW_WORDS_AT_ONCE])
+            flat.append(grams.astype(np.int32))  # compact: the driver's memory is small
+            sizes.append(n)
+        self.slots = np.fromiter(map(slot_of, names), np.int32, len(names))
+        self.sizes = np.concatenate(sizes)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.grams = np.array(flat, np.int32)
+        self.grams = np.concatenate(flat)
 
 
 def gradients(p: Parameters, vocabulary: Vocabulary, ids: np.ndarray, y: np.ndarray) -> Parameters:
@@ -234,30 +275,25 @@ class Network:
         return Network, (self.p, self.calibration)
 
     def forget(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.rows: defaultdict[str, int] = defaultdict(count(1).__next__)  # numbers a new word when it is asked for
         self.table = np.zeros((1024, 6 * HIDDEN), np.float32)  # row 0: no word
 
     def ids(self, words: list[str]) -> np.ndarray:
-        rows = self.rows
-        new = list(dict.fromkeys(w for w in words if w not in rows))
-        if new:
-            if len(rows) + len(new) > KNOWN_WORDS and rows:
-                self.forget()
-                return self.ids(words)
-            at = len(rows) + 1
-            for i, w in enumerate(new, at):
-                rows[w] = i
-            while at + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            for i in range(0, len(new), 10_000):
-                some = new[i : i + 10_000]
-                grams = [grams_of(w) for w in some]
-                sizes = np.array([len(g) for g in grams])
-                flat = np.array([x for g in grams for x in g])
-                sums = np.add.reduceat(self.p["grams"][flat], np.concatenate([[0], np.cumsum(sizes)])[:-1], axis=0)
-                vectors = self.p["words"][[slot_of(w) for w in some]] + sums / sizes[:, None].astype(np.float32)
-                self.table[at + i : at + i + len(some)] = vectors @ self.project + self.bias
-        return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
+        rows, known = self.rows, len(self.rows)
+        out = np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
+        if len(rows) > KNOWN_WORDS and known and len(rows) > known:
+            self.forget()
+            return self.ids(words)
+        new = list(islice(reversed(rows), len(rows) - known))[::-1]
+        while len(rows) >= len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        for i in range(0, len(new), NEW_WORDS_AT_ONCE):
+            some = new[i : i + NEW_WORDS_AT_ONCE]
+            grams, sizes = grams_of_all(some)
+            sums = np.add.reduceat(self.p["grams"].take(grams, axis=0), np.cumsum(sizes) - sizes, axis=0)
+            vectors = self.p["words"][[slot_of(w) for w in some]] + sums / sizes[:, None].astype(np.float32)
+            self.table[known + 1 + i : known + 1 + i + len(some)] = vectors @ self.project + self.bias
+        return out
 
     def window_logits(self, ids: np.ndarray, batch: int = 1024) -> np.ndarray:
         """Logits of windows (n, time) of rows of the table; 0: no word."""

@@ -209,6 +209,44 @@ def test_long_runs_of_letters_are_read_to_their_end():
         assert {toxicity.zlib.crc32(run[i : i + 6].encode("utf-32-le")) % toxicity.GRAM_SLOTS for i in range(n - 5)} <= seen
 
 
+def test_grams_of_many_words():
+    r = np.random.default_rng(5)
+    words = ["".join(r.choice(list("abcäöß漢字ñ𝔘😀\ud800"), n)) for n in [*range(1, 65)] * 3] + ["", "a"]
+    for some in (words, words[:1], []):
+        grams, sizes = toxicity.grams_of_all(some)
+        assert sizes.tolist() == [len(toxicity.grams_of(w)) for w in some]
+        assert grams.tolist() == [g for w in some for g in toxicity.grams_of(w)]
+
+
+def test_new_words_are_hashed_together(monkeypatch):
+    """Half of a table's words may be new to a worker; a Python call for each n-gram was most of op1's CPU seconds."""
+    calls, crc32 = [0], toxicity.zlib.crc32
+
+    def counted(*args):
+        calls[0] += 1
+        return crc32(*args)
+
+    monkeypatch.setattr(toxicity.zlib, "crc32", counted)
+    net = toxicity.Network(toxicity.fresh())
+    words = [f"unseen{i}" for i in range(25_000)]
+    ids = net.ids(words)
+    assert sorted(ids) == list(range(1, 25_001)) and calls[0] < 1.1 * len(words)
+    assert (net.ids(words[::-1]) == ids[::-1]).all() and calls[0] < 1.1 * len(words)
+    for w in words[::5_000]:
+        vector = net.p["words"][toxicity.slot_of(w)] + np.mean(net.p["grams"][toxicity.grams_of(w)], axis=0)
+        assert net.table[net.ids([w])[0]] == pytest.approx(vector @ net.project + net.bias, abs=1e-5)
+
+
+def test_a_full_memory_is_emptied(monkeypatch):
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 50)
+    net = toxicity.Network(toxicity.fresh())
+    for i in range(0, 400, 40):
+        words = [f"w{j}" for j in range(i, i + 60)]
+        fresh = toxicity.Network(net.p)
+        ids, own = net.ids(words), fresh.ids(words)
+        assert np.allclose(net.table[ids], fresh.table[own], atol=1e-6) and len(net.rows) <= 60
+
+
 def test_gradients():
     docs = [["alpha", "beta", "gamma"], ["beta", "delta"]]
     vocabulary = toxicity.Vocabulary(docs)
